@@ -14,7 +14,7 @@ def human_bytes(size: Column, base: int = 1024) -> Column:
     text = None
     for power, unit in enumerate(UNITS):
         scaled = F.concat(
-            F.format_number(value / F.lit(float(base) ** power), "0.0"), F.lit(" " + unit)
+            F.call_function("format_number", value / F.lit(float(base) ** power), F.lit("0.0")), F.lit(" " + unit)
         )
         if power == len(UNITS) - 1:
             return text.otherwise(scaled)

@@ -67,6 +67,12 @@ def dataset_root(index_path: str, index_file: str) -> str:
     return "/".join(index_path.split("/")[: -len(parts)])
 
 
+def root_of(path: Column, index_file: str) -> Column:
+    """``dataset_root`` for a column of index paths."""
+    parts = len([p for p in index_file.split("/") if p not in ("", ".")])
+    return F.regexp_replace(path, f"(/[^/]+){{{parts}}}$", "")
+
+
 def split_indexes(manifest: DataFrame, pattern: str, splits: list[str]) -> DataFrame:
     """(stem, path): per listed split the shallowest file (or shard folder) with that stem."""
     files = index_candidates(manifest, pattern).withColumn("stem", P.stem(F.col("path")))
