@@ -175,24 +175,22 @@ def path_template(spark: SparkSession, sf: str) -> DataFrame:
 @check(
     "dynamic_roots",
     "SELECT l_orderkey AS key, l_linenumber AS line, CASE WHEN o_orderstatus = 'F' "
-    "THEN '/corpus/F/deep/' || l_orderkey || '.wav' ELSE '/corpus/' || o_orderstatus || '/' || l_orderkey END AS path "
-    "FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+    "THEN '/corpus/' || l_returnflag || '/deep/' || l_orderkey || '.wav' "
+    "ELSE '/corpus/' || l_returnflag || '/' || l_orderkey END AS path "
+    "FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey",
 )
 def dynamic_roots(spark: SparkSession, sf: str) -> DataFrame:
-    orders = D.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    items = D.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    rows = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
-    media = D.manifest(
-        orders.filter("o_orderstatus = 'F'"),
-        D.placed(F.col("o_orderstatus"), "/deep/", D.text_of("o_orderkey"), ".wav"),
-    )
+    items = D.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    flags = F.explode(F.array(*[F.lit(f) for f in ("A", "N", "R")])).alias("flag")
+    media = D.table(spark, sf, "orders").filter("o_orderstatus = 'F'").select("o_orderkey", flags)
+    media = D.manifest(media, D.placed(F.col("flag"), "/deep/", D.text_of("o_orderkey"), ".wav"))
     columns = {
         "key": D.column("l_orderkey", "int"),
         "line": D.column("l_linenumber", "int"),
         "path": D.column("l_orderkey", "file_path", file_extension="wav"),
     }
-    spec = D.spec(columns=columns, base_audio_path=["${o_orderstatus}", "${o_orderstatus}/deep/"])
-    return map_columns(D.frame(rows), spec, D.corpus(media))
+    spec = D.spec(columns=columns, base_audio_path=["${l_returnflag}", "${l_returnflag}/deep/"])
+    return map_columns(D.frame(items), spec, D.corpus(media))
 
 
 RULE = PathRule(dataset_root="/corpus/data", extract_root="/corpus", roots=("/corpus/clips",), extension=".wav")
@@ -200,21 +198,21 @@ RULE = PathRule(dataset_root="/corpus/data", extract_root="/corpus", roots=("/co
 
 @check(
     "direct_candidates",
-    """WITH v AS (SELECT c_custkey AS key, c_name AS n, c_nationkey AS k FROM customer)
-    SELECT key, concat_ws('|', '/corpus/clips/' || n, '/corpus/data/' || n, '/corpus/' || n,
-      '/corpus/clips/' || n || '.wav', '/corpus/data/' || n || '.wav', '/corpus/' || n || '.wav') AS candidates
-    FROM v WHERE k > 5 UNION ALL
-    SELECT key, concat_ws('|', '/corpus/clips/a/' || n || '.ogg', '/corpus/data/a/' || n || '.ogg',
-      '/corpus/a/' || n || '.ogg') FROM v WHERE k <= 5 AND k <> 3
-    UNION ALL SELECT key, '/abs/' || n || '|/abs/' || n || '.wav' FROM v WHERE k = 3""",
+    """WITH v AS (SELECT c_custkey AS key, c_name AS n, c_nationkey AS k FROM customer),
+    b AS (SELECT unnest([0, 1, 2]) AS pos, unnest(['/corpus/clips/', '/corpus/data/', '/corpus/']) AS base)
+    SELECT key, pos AS ord, base || n AS path FROM v, b WHERE k > 5
+    UNION ALL SELECT key, pos + 3, base || n || '.wav' FROM v, b WHERE k > 5
+    UNION ALL SELECT key, pos, base || 'a/' || n || '.ogg' FROM v, b WHERE k <= 5 AND k <> 3
+    UNION ALL SELECT key, 0, '/abs/' || n FROM v WHERE k = 3
+    UNION ALL SELECT key, 3, '/abs/' || n || '.wav' FROM v WHERE k = 3""",
 )
 def direct_candidates_query(spark: SparkSession, sf: str) -> DataFrame:
     nation = F.col("c_nationkey")
     value = F.when(nation == 3, F.concat(F.lit("/abs//"), "c_name")).when(
         nation <= 5, F.concat(F.lit("./a//"), "c_name", F.lit(".ogg"))).otherwise(F.col("c_name"))
-    customer = D.table(spark, sf, "customer")
-    listed = F.array_join(direct_candidates(value, RULE), "|")
-    return customer.select(F.col("c_custkey").alias("key"), listed.alias("candidates"))
+    customer = D.table(spark, sf, "customer").select(value.alias("_value"), F.col("c_custkey").alias("key"))
+    listed = direct_candidates(customer, RULE)
+    return listed.select("key", F.col("_ord").cast("int").alias("ord"), "path")
 
 
 @check(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F
 
 _ABSOLUTE = r"^(/|[A-Za-z][A-Za-z0-9+.-]*:/)"
 _URI = r"^[A-Za-z][A-Za-z0-9+.-]*:/"
+_UNTIDY = r"^$|//|/$|(?:^|/)\.(?:/|$)"
 
 
 def normalise(path: Column) -> Column:
@@ -13,15 +14,20 @@ def normalise(path: Column) -> Column:
     plain = F.regexp_replace(path, "/+", "/")
     plain = F.regexp_replace(plain, r"(?:(?<=/)|^)\.(?:/|$)", "")
     plain = F.regexp_replace(plain, "(?<=.)/$", "")
-    return F.when(path.rlike(_URI), path).otherwise(F.when(plain == "", F.lit(".")).otherwise(plain))
+    plain = F.regexp_replace(plain, "^$", ".")
+    return F.when(path.rlike(_UNTIDY) & ~is_uri(path), plain).otherwise(path)
+
+
+def is_uri(path: Column) -> Column:
+    return path.contains(":/") & path.rlike(_URI)
 
 
 def is_absolute(path: Column) -> Column:
-    return path.rlike(_ABSOLUTE)
+    return path.startswith("/") | is_uri(path)
 
 
 def basename(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def parent_dir(path: Column) -> Column:
@@ -50,9 +56,8 @@ def with_suffix(path: Column, extension: str) -> Column:
 
 def join(root: Column | str, relative: Column) -> Column:
     base = F.lit(root) if isinstance(root, str) else root
-    return F.when(relative == ".", base).otherwise(
-        F.concat(F.regexp_replace(base, "/$", ""), F.lit("/"), relative)
-    )
+    slash = F.when(base.endswith("/"), "").otherwise("/")
+    return F.when(relative == ".", base).otherwise(F.concat(base, slash, relative))
 
 
 def is_under(path: Column, root: Column | str) -> Column:

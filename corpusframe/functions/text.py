@@ -28,9 +28,13 @@ MISSING_TOKENS = (
 )
 
 
+# every character Python's str.strip removes
+WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
 def strip(text: Column) -> Column:
     """Trim every kind of Unicode white space from both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def fold(text: Column) -> Column:
@@ -52,7 +56,7 @@ def missing_to_null(text: Column) -> Column:
 
 
 def unify_newlines(text: Column) -> Column:
-    return F.regexp_replace(text, "\r\n?", "\n")
+    return F.when(text.contains("\r"), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
 
 
 # Charsets the JVM decoder takes without a legacy setting.

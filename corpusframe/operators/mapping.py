@@ -10,7 +10,7 @@ from corpusframe.functions import casts as C, paths as P
 from corpusframe.functions.text import decode, strip
 from corpusframe.operators.resolve import ROOTS, VALUE, PathRule, resolve_values
 from corpusframe.operators.skew import key_counts, lookup
-from corpusframe.operators.templates import has_holes, render
+from corpusframe.operators.templates import has_holes, render, tidy_template
 from corpusframe.sources.delimited import IndexFrame, find_source
 from corpusframe.sources.files import read_contents
 from corpusframe.spec import ColumnSpec, LoadSpec
@@ -55,14 +55,20 @@ def map_columns(frame: IndexFrame, spec: LoadSpec, corpus: Corpus) -> DataFrame:
     tags = [t for t in frame.tags() if t not in spec.columns]
 
     staged: dict[str, Column] = {}
+    templated = any(has_holes(root) for root in spec.media_roots)
+    texts: dict[int, list[str | None]] = {}
     problems: list[Column] = []
     for i, (name, column, position) in enumerate(planned):
         cell = frame.cell(position)
         if column.is_path:
-            value, roots = _lookup_inputs(frame, spec, corpus, column, cell)
-            staged[f"_value_{i}"] = value
-            if roots is not None:
-                staged[f"_roots_{i}"] = roots
+            staged[f"_value_{i}"] = _lookup_value(frame, column, cell)
+            if templated:
+                texts[i] = []
+                for j, root in enumerate(spec.media_roots):
+                    texts[i].append(f"_root_{i}_{j}" if has_holes(root) else None)
+                    if has_holes(root):
+                        filled = render(tidy_template(root), strip(cell), frame, "base_audio_path")
+                        staged[f"_root_{i}_{j}"] = filled
         else:
             staged[f"_out_{i}"] = C.cast(cell, column.dtype)
             if column.dtype == "int":
@@ -73,6 +79,8 @@ def map_columns(frame: IndexFrame, spec: LoadSpec, corpus: Corpus) -> DataFrame:
         problems.insert(0, F.when(F.col("_ragged"), F.lit("record:too_long")))
     df = frame.rows.select(*[c.alias(n) for n, c in staged.items()], *tags, *ragged)
 
+    for i, listed in texts.items():
+        df = _row_roots(df, i, listed, spec, corpus)
     for i, (name, column, _) in enumerate(planned):
         if column.is_path:
             df = _resolve_column(df, i, column, spec, corpus)
@@ -102,28 +110,25 @@ def _finish(df, planned, tags, problems, on_error) -> DataFrame:
     return df.select(*outputs, *tags)
 
 
-def _lookup_inputs(frame, spec, corpus, column, cell) -> tuple[Column, Column | None]:
-    """The text that is looked up and, when roots differ by row, the array of roots."""
+def _lookup_value(frame: IndexFrame, column: ColumnSpec, cell: Column) -> Column:
+    """The text that is looked up: the trimmed cell, or the template filled from the row."""
     source = strip(cell) if column.dtype == "file_path" else P.strip_parts(cell)
-    value = source
-    if column.path_template:
-        rendered = render(column.path_template, source, frame)
-        value = F.when(cell.isNotNull(), rendered)
-    if not any(has_holes(root) for root in spec.media_roots):
-        return value, None
+    if not column.path_template:
+        return source
+    return F.when(cell.isNotNull(), render(column.path_template, source, frame))
+
+
+def _row_roots(df: DataFrame, i: int, texts: list[str | None], spec: LoadSpec, corpus: Corpus) -> DataFrame:
+    """Add ``_roots_<i>``; every step is a column of its own, so nothing is computed twice."""
+    cleaned = {c: P.normalise(F.col(c)) for c in texts if c}
     roots = []
-    for root in spec.media_roots:
-        if has_holes(root):
-            text = render(root, source, frame, "base_audio_path")
-            cleaned = P.normalise(text)
-            roots.append(
-                F.when(text == "", F.lit(corpus.dataset_root))
-                .when(P.is_absolute(cleaned), cleaned)
-                .otherwise(P.join(corpus.dataset_root, cleaned))
-            )
+    for declared, text in zip(spec.media_roots, texts):
+        if text is None:
+            roots.append(F.lit(P.resolve_under(corpus.dataset_root, declared)))
         else:
-            roots.append(F.lit(P.resolve_under(corpus.dataset_root, root)))
-    return value, F.array_distinct(F.array(*roots))
+            below = P.join(corpus.dataset_root, F.col(text))
+            roots.append(F.when(P.is_absolute(F.col(text)), F.col(text)).otherwise(below))
+    return df.withColumns(cleaned).withColumn(f"_roots_{i}", F.array(*roots)).drop(*cleaned)
 
 
 def path_rule(spec: LoadSpec, corpus: Corpus, column: ColumnSpec) -> PathRule:

@@ -13,16 +13,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusframe.functions import paths as P
-from corpusframe.functions.text import strip
 from corpusframe.operators.skew import HOT_ROWS, key_counts, lookup
 from corpusframe.sources.files import has_extension, visible
 from corpusframe.sources.scratch import written
 
+# The arrays exploded here are never empty. The outer form is used all the same: for the plain
+# form Spark adds a size filter and pushes the whole array expression down to the scan.
 LISTED = 5
 BROADCAST_VALUES = 200_000
 BROADCAST_CHARS = 16 << 20
 
 VALUE, ROOTS = "_value", "_roots"
+_CLEAN, _BASES, _LONGER, _ABSOLUTE = "_clean", "_bases", "_longer", "_absolute"
 
 
 @dataclass(frozen=True)
@@ -49,35 +51,71 @@ class PathRule:
             return F.col(ROOTS)
         return F.array(*[F.lit(r) for r in (self.roots or (self.dataset_root,))])
 
+    def bases_column(self) -> Column:
+        """Folders a relative value is tried under: media roots, dataset root, extract root."""
+        fallback = dict.fromkeys([self.dataset_root, self.extract_root])
+        if self.row_roots:
+            return F.concat(F.col(ROOTS), F.array(*[F.lit(r) for r in fallback]))
+        tried = dict.fromkeys([*(self.roots or (self.dataset_root,)), *fallback])
+        return F.array(*[F.lit(r) for r in tried])
 
-def direct_candidates(value: Column, rule: PathRule) -> Column:
-    """Paths a value may stand for, best first, without repeats."""
-    cleaned = P.normalise(value)
-    fallback = [rule.dataset_root]
-    if rule.extract_root != rule.dataset_root:
-        fallback.append(rule.extract_root)
-    roots = F.concat(rule.roots_column(), F.array(*[F.lit(r) for r in fallback]))
-
-    def under_roots(relative: Column) -> Column:
-        return F.when(P.is_absolute(relative), F.array(relative)).otherwise(
-            F.transform(roots, lambda root: P.join(root, relative))
-        )
 
-    plain = under_roots(cleaned)
+def _prepared(values: DataFrame, rule: PathRule) -> DataFrame:
+    """Parts of the candidates as columns of their own, so each is computed once per value."""
+    clean = F.col(_CLEAN)
     extension = P.clean_extension(rule.extension)
+    longer = F.lit(None).cast("string")
     if extension is not None:
-        extended = under_roots(F.concat(cleaned, F.lit(extension)))
-        plain = F.when(P.suffix(cleaned) == "", F.concat(plain, extended)).otherwise(plain)
-    return F.array_distinct(plain)
+        longer = F.when(P.suffix(clean) == "", F.concat(clean, F.lit(extension)))
+    staged = values.withColumns({_CLEAN: P.normalise(F.col(VALUE)), _BASES: rule.bases_column()})
+    return staged.withColumns({_LONGER: longer, _ABSOLUTE: P.is_absolute(clean)})
+
 
+def _placed(base: Column, relative: Column) -> Column:
+    return F.when(F.col(_ABSOLUTE), relative).otherwise(P.join(base, relative))
 
-def resolve_direct(values: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
-    """First existing candidate of each distinct value; values without one give no row."""
-    candidates = values.select(
-        *rule.keys, F.posexplode(direct_candidates(F.col(VALUE), rule)).alias("_ord", "path")
+
+def direct_candidates(values: DataFrame, rule: PathRule) -> DataFrame:
+    """(values, ord, path): paths a value may stand for; a smaller ``ord`` is the better one.
+
+    The value itself under each base comes first, then the value with its extension.
+    """
+    clean, longer = F.col(_CLEAN), F.col(_LONGER)
+    spellings = F.when(longer.isNull(), F.array(clean)).otherwise(F.array(clean, longer))
+    staged = _prepared(values, rule)
+    # an absolute value stands for itself, whatever the base
+    bases = F.when(F.col(_ABSOLUTE), F.slice(_BASES, 1, 1)).otherwise(F.col(_BASES))
+    based = staged.select(
+        *values.columns, _ABSOLUTE, _BASES, bases.alias("_used"), F.posexplode_outer(spellings).alias("_spelling", "_rel")
+    ).select(
+        *values.columns, _ABSOLUTE, "_spelling", "_rel", F.size(_BASES).alias("_n_bases"),
+        F.posexplode_outer("_used").alias("_pos", "_base"),
     )
-    hits = candidates.join(manifest.select("path"), "path", "left_semi")
-    return hits.groupBy(*rule.keys).agg(F.min_by("path", "_ord").alias("path"))
+    return based.select(
+        *values.columns,
+        (F.col("_spelling") * F.col("_n_bases") + F.col("_pos")).alias("_ord"),
+        _placed(F.col("_base"), F.col("_rel")).alias("path"),
+    )
+
+
+def candidate_at(values: DataFrame, rule: PathRule, order: str) -> DataFrame:
+    """Add ``_path``: the candidate of a row's value with the given ``ord``."""
+    size = F.size(_BASES)
+    base = F.element_at(F.col(_BASES), F.pmod(F.col(order), size) + 1)
+    relative = F.when(F.col(order) < size, F.col(_CLEAN)).otherwise(F.col(_LONGER))
+    staged = _prepared(values, rule).withColumns({"_base": base, "_rel": relative})
+    path = _placed(F.col("_base"), F.col("_rel")).alias("_path")
+    return staged.select(*values.columns, path)
+
+
+def resolve_direct(counts: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
+    """(keys, ord, _n): which candidate of each distinct value is the first to exist, if any.
+
+    ``_n`` is the number of rows that hold the value; it travels along so that the join back
+    to the rows knows the frequent values.
+    """
+    hits = direct_candidates(counts, rule).join(manifest.select("path"), "path", "left_semi")
+    return hits.groupBy(*rule.keys).agg(F.min("_ord").alias("_ord"), F.max("_n").alias("_n"))
 
 
 def _searched(manifest: DataFrame, rule: PathRule, values: DataFrame) -> DataFrame:
@@ -112,6 +150,8 @@ def _first_matches(pairs: DataFrame, keys: list[str], order: list[str]) -> DataF
 
 def _with_status(matches: DataFrame, keys: list[str]) -> DataFrame:
     """One row per value from its few (ord, depth, path) matches."""
+    keys = [*keys, "_n"]
+
     def paths(found: Column) -> Column:
         return F.slice(F.array_distinct(F.transform(F.array_sort(found), lambda m: m["path"])), 1, LISTED)
 
@@ -135,7 +175,7 @@ def resolve_exact(
         "root",
         "path",
         "depth",
-        F.explode(
+        F.explode_outer(
             F.array(
                 F.struct(F.lit("name").alias("kind"), F.col("name").alias("key")),
                 F.struct(F.lit("stem").alias("kind"), F.col("stem").alias("key")),
@@ -150,29 +190,25 @@ def resolve_exact(
         .agg(F.collect_list(F.struct("depth", "path")).alias("found"))
     )
 
-    cleaned = P.normalise(F.col(VALUE))
-    name, bare = P.basename(cleaned), P.suffix(cleaned) == ""
-    keyed = [
-        F.struct(F.lit("name").alias("kind"), name.alias("key")),
-        F.struct(F.lit("rel").alias("kind"), F.lower(cleaned).alias("key")),
-        F.struct(F.lit("stem").alias("kind"), F.when(bare, name).alias("key")),
-    ]
-    extension = P.clean_extension(rule.extension)
-    if extension is not None:
-        longer = F.when(bare, F.concat(name, F.lit(extension)))
-        lower = F.when(bare, F.lower(F.concat(cleaned, F.lit(extension))))
-        keyed.append(F.struct(F.lit("name").alias("kind"), longer.alias("key")))
-        keyed.append(F.struct(F.lit("rel").alias("kind"), lower.alias("key")))
+    def key(kind: str, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), text.alias("key"))
+
+    clean, longer = F.col(_CLEAN), F.col(_LONGER)
+    keyed = [key("name", P.basename(clean)), key("rel", F.lower(clean))]
+    keyed.append(key("stem", F.when(P.suffix(clean) == "", P.basename(clean))))
+    if rule.extension:
+        keyed += [key("name", P.basename(longer)), key("rel", F.lower(longer))]
     wanted = (
-        values.select(*rule.keys, F.posexplode(rule.roots_column()).alias("_ord", "root"), F.array(*keyed).alias("_k"))
-        .select(*rule.keys, "_ord", "root", F.explode("_k").alias("k"))
-        .select(*rule.keys, "_ord", "root", "k.kind", "k.key")
+        _prepared(values, rule)
+        .select(*rule.keys, "_n", F.posexplode_outer(rule.roots_column()).alias("_ord", "root"), F.array(*keyed).alias("_k"))
+        .select(*rule.keys, "_n", "_ord", "root", F.explode_outer("_k").alias("k"))
+        .select(*rule.keys, F.col("_n").alias("_rows"), "_ord", "root", "k.kind", "k.key")
         .filter(F.col("key").isNotNull())
     )
     # many values can share one file name, so this lookup is guarded against hot keys too
     found = lookup(wanted, by_key, on, hot_rows=hot_rows).filter(F.col("found").isNotNull())
-    matches = found.select(*rule.keys, "_ord", F.explode("found").alias("f")).select(
-        *rule.keys, "_ord", "f.depth", "f.path"
+    matches = found.select(*rule.keys, F.col("_rows").alias("_n"), "_ord", F.explode_outer("found").alias("f")).select(
+        *rule.keys, "_n", "_ord", "f.depth", "f.path"
     )
     return _with_status(matches, rule.keys)
 
@@ -201,8 +237,8 @@ def resolve_contains(
     those lengths and their size; small value sets are broadcast, large ones are shuffled.
     A substring shared by very many paths keeps only its first few before the join.
     """
-    values = written(values.select(*rule.keys, F.lower(VALUE).alias("_needle")), "needles")
-    wanted = values.select(*rule.keys, "_needle", F.posexplode(rule.roots_column()).alias("_ord", "root"))
+    values = written(values.select(*rule.keys, "_n", F.lower(VALUE).alias("_needle")), "needles")
+    wanted = values.select(*rule.keys, "_n", "_needle", F.posexplode_outer(rule.roots_column()).alias("_ord", "root"))
     facts = wanted.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.length("_needle") + F.length("root")), F.lit(0)).alias("chars"),
@@ -222,41 +258,37 @@ def resolve_contains(
     else:
         first = _first_matches(grams, on, ["depth", "path"])
         matches = wanted.join(first, on)
-    return _with_status(matches.select(*rule.keys, "_ord", "depth", "path"), rule.keys)
-
-
-def resolutions(values: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
-    """One row per distinct value: keys, path, status, matches."""
-    direct = resolve_direct(values, manifest, rule)
-    none = F.lit(None).cast("array<string>")
-    hits = direct.select(*rule.keys, "path", F.lit("ok").alias("status"), none.alias("matches"))
-    if rule.strategy == "direct":
-        return hits
-    rest = values.select(*rule.keys).join(direct, rule.keys, "left_anti")
-    search = resolve_exact if rule.strategy == "exact" else resolve_contains
-    return hits.unionByName(search(rest, manifest, rule))
+    return _with_status(matches.select(*rule.keys, "_n", "_ord", "depth", "path"), rule.keys)
 
 
 def resolve_values(df: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
     """Add ``path``, ``status`` and ``matches`` for the value column ``_value`` of each row."""
-    counts = key_counts(df.filter(F.col(VALUE) != ""), rule.keys)
-    found = lookup(df, resolutions(counts, manifest, rule), rule.keys, counts)
+    counts = key_counts(df, rule.keys)
+    direct = resolve_direct(counts, manifest, rule)
     value = F.col(VALUE)
+    nothing = F.when(value.isNull(), F.lit("null")).when(value == "", F.lit("ok"))
     if rule.strategy == "direct":
-        path = F.coalesce("path", F.element_at(direct_candidates(value, rule), 1))
-        unresolved = F.lit("unverified")
-    else:
-        path = F.col("path")
-        unresolved = F.lit("missing")
-    return found.withColumns(
-        {
-            "path": F.when(value == "", value).when(value.isNotNull(), path),
-            "status": F.when(value.isNull(), F.lit("null"))
-            .when(value == "", F.lit("ok"))
-            .otherwise(F.coalesce("status", unresolved)),
-        }
+        found = lookup(df, direct, rule.keys, counts)
+        found = found.withColumns({
+            "_hit": F.col("_ord").isNotNull(),
+            "_ord": F.coalesce("_ord", F.lit(0)),
+            "matches": F.lit(None).cast("array<string>"),
+        })
+        found = candidate_at(found, rule, "_ord")
+        status = nothing.when(F.col("_hit"), F.lit("ok")).otherwise(F.lit("unverified"))
+        path = F.when(value == "", value).when(value.isNotNull(), F.col("_path"))
+        return found.withColumns({"path": path, "status": status}).drop("_ord", "_hit", "_path")
+    rest = counts.join(direct, rule.keys, "left_anti")
+    search = resolve_exact if rule.strategy == "exact" else resolve_contains
+    hits = candidate_at(direct, rule, "_ord").select(
+        *rule.keys,
+        "_n",
+        F.col("_path").alias("path"),
+        F.lit("ok").alias("status"),
+        F.lit(None).cast("array<string>").alias("matches"),
     )
-
-
-def clean_value(cell: Column) -> Column:
-    return strip(cell)
+    found = lookup(df, hits.unionByName(search(rest, manifest, rule)), rule.keys, counts)
+    return found.withColumns({
+        "path": F.when(value == "", value).otherwise(F.col("path")),
+        "status": nothing.otherwise(F.coalesce("status", F.lit("missing"))),
+    })

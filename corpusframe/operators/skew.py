@@ -16,10 +16,6 @@ def key_counts(df: DataFrame, on: list[str]) -> DataFrame:
     return present.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def _copies(hot_rows: int):
-    return F.least(F.ceil(F.col("_n") / F.lit(hot_rows)), F.lit(MAX_COPIES)).cast("int")
-
-
 def lookup(
     df: DataFrame,
     table: DataFrame,
@@ -32,16 +28,19 @@ def lookup(
     Keys with many rows get a salt, and their single table row is repeated once per salt
     value, so no task receives all rows of a hot key. The list of hot keys is limited to the
     largest MAX_HOT_KEYS before it is broadcast; a key beyond that list simply is not salted.
+    A table that carries the row count of its keys as ``_n`` needs no join to the list.
     Rows with a null key match nothing and are spread too.
     """
-    counts = key_counts(df, on) if counts is None else counts.select(*on, "_n")
-    hot = counts.filter(F.col("_n") > hot_rows)
-    listed = hot.orderBy(F.desc("_n"), *on).limit(MAX_HOT_KEYS).select(*on, _copies(hot_rows).alias(_COPIES))
-    repeated = (
-        table.join(F.broadcast(listed), on, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_COPIES), F.lit(1)) - 1)))
-        .drop(_COPIES)
-    )
+    counts = key_counts(df, on) if counts is None else counts
+    copies = F.least(F.ceil(F.col("_n") / F.lit(hot_rows)), F.lit(MAX_COPIES)).cast("int").alias(_COPIES)
+    hot = counts.filter(F.col("_n") > hot_rows).orderBy(F.desc("_n"), *on).limit(MAX_HOT_KEYS)
+    listed = hot.select(*on, copies)
+    if "_n" in table.columns:
+        repeated = table.select(*[c for c in table.columns if c != "_n"], copies)
+    else:
+        repeated = table.join(F.broadcast(listed), on, "left")
+    each = F.when(F.col(_COPIES) > 1, F.sequence(F.lit(0), F.col(_COPIES) - 1)).otherwise(F.array(F.lit(0)))
+    repeated = repeated.withColumn(_SALT, F.explode_outer(each)).drop(_COPIES)
     # row content and partition number: the same on a retried task, and different for the
     # identical rows of a hot key that sit in different partitions
     spread = F.xxhash64(*df.columns) + F.spark_partition_id()

@@ -16,6 +16,11 @@ def has_holes(template: str) -> bool:
     return "${" in template
 
 
+def tidy_template(template: str) -> str:
+    """Driver side: a path template without doubled or trailing slashes."""
+    return re.sub(r"(?<=.)/$", "", re.sub("/+", "/", template)) if "://" not in template else template
+
+
 def render(template: str, value: Column, frame: IndexFrame, label: str = "path_template") -> Column:
     """Template with its holes filled per row; a missing cell is empty text."""
     pieces: list[Column] = []
