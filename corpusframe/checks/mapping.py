@@ -211,7 +211,7 @@ def direct_candidates_query(spark: SparkSession, sf: str) -> DataFrame:
     value = F.when(nation == 3, F.concat(F.lit("/abs//"), "c_name")).when(
         nation <= 5, F.concat(F.lit("./a//"), "c_name", F.lit(".ogg"))).otherwise(F.col("c_name"))
     customer = D.table(spark, sf, "customer").select(value.alias("_value"), F.col("c_custkey").alias("key"))
-    listed = direct_candidates(customer, RULE)
+    listed = direct_candidates(RULE.with_roots(customer), RULE)
     return listed.select("key", F.col("_ord").cast("int").alias("ord"), "path")
 
 

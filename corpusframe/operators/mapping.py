@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusframe.functions import casts as C, paths as P
 from corpusframe.functions.text import decode, strip
-from corpusframe.operators.resolve import ROOTS, VALUE, PathRule, resolve_values
+from corpusframe.operators.resolve import VALUE, PathRule, resolve_values
 from corpusframe.operators.skew import key_counts, lookup
 from corpusframe.operators.templates import has_holes, render, tidy_template
 from corpusframe.sources.delimited import IndexFrame, find_source
@@ -47,28 +47,25 @@ def planned_columns(spec: LoadSpec, names: list[str | int]) -> list[tuple[str, C
     return planned
 
 
-def map_columns(frame: IndexFrame, spec: LoadSpec, corpus: Corpus) -> DataFrame:
-    """Select, rename, cast and resolve, in spec order."""
+def map_columns(
+    frame: IndexFrame, spec: LoadSpec, corpus: Corpus, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Select, rename, cast and resolve, in spec order; ``carry`` columns are kept behind them."""
     if corpus.on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
     planned = planned_columns(spec, frame.names)
-    tags = [t for t in frame.tags() if t not in spec.columns]
+    tags = list(carry)
 
     staged: dict[str, Column] = {}
-    templated = any(has_holes(root) for root in spec.media_roots)
-    texts: dict[int, list[str | None]] = {}
     problems: list[Column] = []
     for i, (name, column, position) in enumerate(planned):
         cell = frame.cell(position)
         if column.is_path:
             staged[f"_value_{i}"] = _lookup_value(frame, column, cell)
-            if templated:
-                texts[i] = []
-                for j, root in enumerate(spec.media_roots):
-                    texts[i].append(f"_root_{i}_{j}" if has_holes(root) else None)
-                    if has_holes(root):
-                        filled = render(tidy_template(root), strip(cell), frame, "base_audio_path")
-                        staged[f"_root_{i}_{j}"] = filled
+            for j, root in enumerate(spec.media_roots):
+                if has_holes(root):
+                    filled = render(tidy_template(root), strip(cell), frame, "base_audio_path")
+                    staged[f"_root_{j}_{i}"] = filled
         else:
             staged[f"_out_{i}"] = C.cast(cell, column.dtype)
             if column.dtype == "int":
@@ -79,8 +76,6 @@ def map_columns(frame: IndexFrame, spec: LoadSpec, corpus: Corpus) -> DataFrame:
         problems.insert(0, F.when(F.col("_ragged"), F.lit("record:too_long")))
     df = frame.rows.select(*[c.alias(n) for n, c in staged.items()], *tags, *ragged)
 
-    for i, listed in texts.items():
-        df = _row_roots(df, i, listed, spec, corpus)
     for i, (name, column, _) in enumerate(planned):
         if column.is_path:
             df = _resolve_column(df, i, column, spec, corpus)
@@ -118,44 +113,31 @@ def _lookup_value(frame: IndexFrame, column: ColumnSpec, cell: Column) -> Column
     return F.when(cell.isNotNull(), render(column.path_template, source, frame))
 
 
-def _row_roots(df: DataFrame, i: int, texts: list[str | None], spec: LoadSpec, corpus: Corpus) -> DataFrame:
-    """Add ``_roots_<i>``; every step is a column of its own, so nothing is computed twice."""
-    cleaned = {c: P.normalise(F.col(c)) for c in texts if c}
-    roots = []
-    for declared, text in zip(spec.media_roots, texts):
-        if text is None:
-            roots.append(F.lit(P.resolve_under(corpus.dataset_root, declared)))
-        else:
-            below = P.join(corpus.dataset_root, F.col(text))
-            roots.append(F.when(P.is_absolute(F.col(text)), F.col(text)).otherwise(below))
-    return df.withColumns(cleaned).withColumn(f"_roots_{i}", F.array(*roots)).drop(*cleaned)
-
-
 def path_rule(spec: LoadSpec, corpus: Corpus, column: ColumnSpec) -> PathRule:
-    templated = any(has_holes(root) for root in spec.media_roots)
-    fixed = [] if templated else [P.resolve_under(corpus.dataset_root, r) for r in spec.media_roots]
+    texts = [f"_root_{j}" if has_holes(r) else None for j, r in enumerate(spec.media_roots)]
+    roots = [
+        "" if text else P.resolve_under(corpus.dataset_root, root)
+        for root, text in zip(spec.media_roots, texts)
+    ]
     return PathRule(
         dataset_root=corpus.dataset_root,
         extract_root=corpus.extract_root,
-        roots=tuple(dict.fromkeys(fixed)),
+        roots=tuple(roots),
         strategy=column.path_match_strategy,
         extension=column.file_extension,
-        row_roots=templated,
+        root_texts=tuple(texts),
     )
 
 
 def _resolve_column(df, i, column, spec, corpus) -> DataFrame:
     rule = path_rule(spec, corpus, column)
-    df = df.withColumnRenamed(f"_value_{i}", VALUE)
-    if rule.row_roots:
-        df = df.withColumnRenamed(f"_roots_{i}", ROOTS)
+    df = df.withColumnsRenamed({f"_value_{i}": VALUE, **{f"{t}_{i}": t for t in rule.row_roots}})
     df = resolve_values(df, corpus.manifest, rule)
     if column.dtype == "file_content":
         df = attach_content(df, corpus.manifest, spec.encoding)
-    df = df.withColumnsRenamed(
+    return df.drop(*rule.row_roots).withColumnsRenamed(
         {VALUE: f"_value_{i}", "path": f"_out_{i}", "status": f"_status_{i}", "matches": f"_matches_{i}"}
     )
-    return df.drop(ROOTS)
 
 
 def attach_content(df: DataFrame, manifest: DataFrame, encoding: str) -> DataFrame:

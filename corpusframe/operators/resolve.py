@@ -31,8 +31,8 @@ _CLEAN, _BASES, _LONGER, _ABSOLUTE = "_clean", "_bases", "_longer", "_absolute"
 class PathRule:
     """How values of one column are looked up.
 
-    ``roots`` are absolute media roots in search order. With ``row_roots`` the roots differ
-    by row and come from the array column ``_roots`` instead.
+    ``roots`` are absolute media roots in search order. Where ``root_texts`` names a column,
+    that root differs by row: the column holds its text, absolute or below the dataset root.
     """
 
     dataset_root: str
@@ -40,24 +40,36 @@ class PathRule:
     roots: tuple[str, ...] = ()
     strategy: str = "direct"
     extension: str | None = None
-    row_roots: bool = False
+    root_texts: tuple[str | None, ...] = ()
 
     @property
-    def keys(self) -> list[str]:
-        return [VALUE, ROOTS] if self.row_roots else [VALUE]
+    def row_roots(self) -> list[str]:
+        return [t for t in self.root_texts if t]
 
-    def roots_column(self) -> Column:
-        if self.row_roots:
-            return F.col(ROOTS)
-        return F.array(*[F.lit(r) for r in (self.roots or (self.dataset_root,))])
+    @property
+    def keys(self) -> list[str]:
+        return [VALUE, *self.row_roots]
+
+    def with_roots(self, values: DataFrame) -> DataFrame:
+        """Add the array ``_roots`` of each distinct value."""
+        if not self.row_roots:
+            fixed = dict.fromkeys(self.roots or (self.dataset_root,))
+            return values.withColumn(ROOTS, F.array(*[F.lit(r) for r in fixed]))
+        clean = {f"{t}_clean": P.normalise(F.col(t)) for t in self.row_roots}
+        roots = []
+        for fixed, text in zip(self.roots, self.root_texts):
+            below = F.col(f"{text}_clean")
+            roots.append(
+                F.when(P.is_absolute(below), below).otherwise(P.join(self.dataset_root, below))
+                if text
+                else F.lit(fixed)
+            )
+        return values.withColumns(clean).withColumn(ROOTS, F.array(*roots)).drop(*clean)
 
     def bases_column(self) -> Column:
         """Folders a relative value is tried under: media roots, dataset root, extract root."""
         fallback = dict.fromkeys([self.dataset_root, self.extract_root])
-        if self.row_roots:
-            return F.concat(F.col(ROOTS), F.array(*[F.lit(r) for r in fallback]))
-        tried = dict.fromkeys([*(self.roots or (self.dataset_root,)), *fallback])
-        return F.array(*[F.lit(r) for r in tried])
+        return F.concat(F.col(ROOTS), F.array(*[F.lit(r) for r in fallback]))
 
 
 def _prepared(values: DataFrame, rule: PathRule) -> DataFrame:
@@ -99,22 +111,17 @@ def direct_candidates(values: DataFrame, rule: PathRule) -> DataFrame:
 
 
 def candidate_at(values: DataFrame, rule: PathRule, order: str) -> DataFrame:
-    """Add ``_path``: the candidate of a row's value with the given ``ord``."""
+    """Add ``path``: the candidate of a value with the given ``ord``."""
     size = F.size(_BASES)
     base = F.element_at(F.col(_BASES), F.pmod(F.col(order), size) + 1)
     relative = F.when(F.col(order) < size, F.col(_CLEAN)).otherwise(F.col(_LONGER))
     staged = _prepared(values, rule).withColumns({"_base": base, "_rel": relative})
-    path = _placed(F.col("_base"), F.col("_rel")).alias("_path")
-    return staged.select(*values.columns, path)
-
+    return staged.select(*values.columns, _placed(F.col("_base"), F.col("_rel")).alias("path"))
 
-def resolve_direct(counts: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
-    """(keys, ord, _n): which candidate of each distinct value is the first to exist, if any.
 
-    ``_n`` is the number of rows that hold the value; it travels along so that the join back
-    to the rows knows the frequent values.
-    """
-    hits = direct_candidates(counts, rule).join(manifest.select("path"), "path", "left_semi")
+def resolve_direct(values: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
+    """(keys, ord, _n): which candidate of each distinct value is the first to exist, if any."""
+    hits = direct_candidates(values, rule).join(manifest.select("path"), "path", "left_semi")
     return hits.groupBy(*rule.keys).agg(F.min("_ord").alias("_ord"), F.max("_n").alias("_n"))
 
 
@@ -200,7 +207,7 @@ def resolve_exact(
         keyed += [key("name", P.basename(longer)), key("rel", F.lower(longer))]
     wanted = (
         _prepared(values, rule)
-        .select(*rule.keys, "_n", F.posexplode_outer(rule.roots_column()).alias("_ord", "root"), F.array(*keyed).alias("_k"))
+        .select(*rule.keys, "_n", F.posexplode_outer(ROOTS).alias("_ord", "root"), F.array(*keyed).alias("_k"))
         .select(*rule.keys, "_n", "_ord", "root", F.explode_outer("_k").alias("k"))
         .select(*rule.keys, F.col("_n").alias("_rows"), "_ord", "root", "k.kind", "k.key")
         .filter(F.col("key").isNotNull())
@@ -237,8 +244,8 @@ def resolve_contains(
     those lengths and their size; small value sets are broadcast, large ones are shuffled.
     A substring shared by very many paths keeps only its first few before the join.
     """
-    values = written(values.select(*rule.keys, "_n", F.lower(VALUE).alias("_needle")), "needles")
-    wanted = values.select(*rule.keys, "_n", "_needle", F.posexplode_outer(rule.roots_column()).alias("_ord", "root"))
+    values = written(values.select(*rule.keys, "_n", ROOTS, F.lower(VALUE).alias("_needle")), "needles")
+    wanted = values.select(*rule.keys, "_n", "_needle", F.posexplode_outer(ROOTS).alias("_ord", "root"))
     facts = wanted.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.length("_needle") + F.length("root")), F.lit(0)).alias("chars"),
@@ -261,34 +268,36 @@ def resolve_contains(
     return _with_status(matches.select(*rule.keys, "_n", "_ord", "depth", "path"), rule.keys)
 
 
+def resolutions(counts: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
+    """(keys, _n, path, status, matches) of every distinct value.
+
+    ``_n`` is the number of rows that hold the value; it travels along so that the join back
+    to the rows knows the frequent values.
+    """
+    values = rule.with_roots(counts)
+    direct = resolve_direct(values, manifest, rule).withColumnRenamed("_n", "_hit_n")
+    # both branches read _n, so Spark sees one and the same shuffle of the counted values
+    known = values.join(direct, rule.keys, "left").withColumn("_n", F.coalesce("_hit_n", "_n"))
+    known = known.drop("_hit_n")
+    nothing = F.lit(None).cast("array<string>").alias("matches")
+    if rule.strategy == "direct":
+        first = candidate_at(known.withColumn("_at", F.coalesce("_ord", F.lit(0))), rule, "_at")
+        status = F.when(F.col("_ord").isNull(), "unverified").otherwise("ok").alias("status")
+        return first.select(*rule.keys, "_n", "path", status, nothing)
+    hits = candidate_at(known.filter(F.col("_ord").isNotNull()), rule, "_ord")
+    hits = hits.select(*rule.keys, "_n", "path", F.lit("ok").alias("status"), nothing)
+    rest = known.filter(F.col("_ord").isNull()).drop("_ord")
+    search = resolve_exact if rule.strategy == "exact" else resolve_contains
+    return hits.unionByName(search(rest, manifest, rule))
+
+
 def resolve_values(df: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
     """Add ``path``, ``status`` and ``matches`` for the value column ``_value`` of each row."""
     counts = key_counts(df, rule.keys)
-    direct = resolve_direct(counts, manifest, rule)
+    found = lookup(df, resolutions(counts, manifest, rule), rule.keys, counts)
     value = F.col(VALUE)
-    nothing = F.when(value.isNull(), F.lit("null")).when(value == "", F.lit("ok"))
-    if rule.strategy == "direct":
-        found = lookup(df, direct, rule.keys, counts)
-        found = found.withColumns({
-            "_hit": F.col("_ord").isNotNull(),
-            "_ord": F.coalesce("_ord", F.lit(0)),
-            "matches": F.lit(None).cast("array<string>"),
-        })
-        found = candidate_at(found, rule, "_ord")
-        status = nothing.when(F.col("_hit"), F.lit("ok")).otherwise(F.lit("unverified"))
-        path = F.when(value == "", value).when(value.isNotNull(), F.col("_path"))
-        return found.withColumns({"path": path, "status": status}).drop("_ord", "_hit", "_path")
-    rest = counts.join(direct, rule.keys, "left_anti")
-    search = resolve_exact if rule.strategy == "exact" else resolve_contains
-    hits = candidate_at(direct, rule, "_ord").select(
-        *rule.keys,
-        "_n",
-        F.col("_path").alias("path"),
-        F.lit("ok").alias("status"),
-        F.lit(None).cast("array<string>").alias("matches"),
-    )
-    found = lookup(df, hits.unionByName(search(rest, manifest, rule)), rule.keys, counts)
+    status = F.when(value.isNull(), F.lit("null")).when(value == "", F.lit("ok"))
     return found.withColumns({
         "path": F.when(value == "", value).otherwise(F.col("path")),
-        "status": nothing.otherwise(F.coalesce("status", F.lit("missing"))),
+        "status": status.otherwise(F.coalesce("status", F.lit("missing"))),
     })

@@ -16,7 +16,7 @@ from corpusframe.operators import locate, sidecars
 from corpusframe.operators.mapping import Corpus, map_columns
 from corpusframe.sources import storage
 from corpusframe.sources.archives import with_inner_archives
-from corpusframe.sources.delimited import IndexFrame, find_source, read_index
+from corpusframe.sources.delimited import IndexFrame, read_index
 from corpusframe.sources.files import matches_glob, scan_manifest, union_all, visible, write_files
 from corpusframe.sources.scratch import fresh_folder
 from corpusframe.spec import LoadSpec, SpecError
@@ -111,59 +111,58 @@ def on_storage(corpus: Corpus, path: str) -> str:
     return target
 
 
-def _tagged(frame: IndexFrame, tag: str, value: str) -> IndexFrame:
-    """Add a constant column; it replaces a source column of the same name."""
+def _tagged(frame: IndexFrame, tag: str, value: str, as_cell: bool) -> IndexFrame:
+    """Add a constant ``_tag`` column, which replaces a source column called ``tag``.
+
+    With ``as_cell`` it is an ordinary source column as well, for specs that map it.
+    """
     keep = [i for i, n in enumerate(frame.names) if n != tag]
+    cells = [frame.cell(i) for i in keep] + ([F.lit(value)] if as_cell else [])
     rows = frame.rows.select(
-        *[frame.cell(i).alias(f"_c{k}") for k, i in enumerate(keep)],
+        *[c.alias(f"_c{k}") for k, c in enumerate(cells)],
         *[c for c in frame.rows.columns if c == "_ragged"],
-        F.lit(value).alias(tag),
+        F.lit(value).alias("_tag"),
     )
-    return IndexFrame(rows, [frame.names[i] for i in keep])
+    return IndexFrame(rows, [frame.names[i] for i in keep] + ([tag] if as_cell else []))
+
+
+def _tagged_frames(
+    spark: SparkSession, spec: LoadSpec, corpus: Corpus, files: list[tuple[str, str]], tag: str, as_cell: bool
+) -> list[IndexFrame]:
+    """One frame per distinct header: files with the same columns become one scan of rows."""
+    by_header: dict[tuple, list[DataFrame]] = {}
+    for value, path in files:
+        frame = _tagged(read_index(spark, path, spec, corpus.on_error), tag, value, as_cell)
+        by_header.setdefault(tuple(frame.names), []).append(frame.rows)
+    return [IndexFrame(union_all(rows), list(names)) for names, rows in by_header.items()]
 
 
 def multi_split_layout(spark: SparkSession, spec: LoadSpec, corpus: Corpus) -> DataFrame:
     """One index per split, found by file stem; listed splits may be absent, not all of them."""
     pattern = spec.splits_file_pattern or "**/*.tsv"
     found = locate.split_indexes(corpus.manifest, pattern, list(spec.splits)).orderBy("stem")
-    files = [(r["stem"], r["path"]) for r in found.collect()]  # at most one row per listed split
+    # at most one row per listed split
+    files = [(r["stem"], on_storage(corpus, r["path"])) for r in found.collect()]
     if not files:
         raise FileNotFoundError(f"no split files match '{pattern}' for {sorted(spec.splits)}")
-    parts = []
-    for split, path in files:
-        frame = read_index(spark, on_storage(corpus, path), spec, corpus.on_error)
-        if not spec.columns:
-            parts.append(_tagged(frame, "split", split).named())
-            continue
-        tag = "split"
-        used = [c.source_column for c in spec.columns.values()]
-        if find_source([tag], _only(used, tag)) is not None:
-            # the split name is itself a mapped source: make it an ordinary cell
-            tagged = _tagged(frame, tag, split)
-            width = len(tagged.names)
-            frame = IndexFrame(tagged.rows.withColumnRenamed(tag, f"_c{width}"), [*tagged.names, tag])
-        mapped = map_columns(frame, spec, corpus)
-        parts.append(mapped.withColumn(tag, F.lit(split)))
-    return union_all(parts)
-
-
-def _only(sources: list, tag: str):
-    return next((s for s in sources if find_source([tag], s) is not None), -1)
+    frames = _tagged_frames(spark, spec, corpus, files, "split", as_cell=bool(spec.columns))
+    if not spec.columns:
+        return union_all([f.named(F.col("_tag").alias("split")) for f in frames])
+    mapped = union_all([map_columns(f, spec, corpus, carry=("_tag",)) for f in frames])
+    return mapped.withColumn("split", F.col("_tag")).drop("_tag")
 
 
 def multi_sections_layout(spark: SparkSession, spec: LoadSpec, corpus: Corpus) -> DataFrame:
-    """One index per section folder; raw columns plus ``section``, in the listed order."""
+    """One index per section folder; raw columns plus ``section``."""
     base = P.resolve_under(corpus.extract_root, spec.section_root)
     paths = [P.resolve_under(P.resolve_under(base, s), spec.index_file) for s in spec.sections]
     stored = {p: on_storage(corpus, p) for p in paths}
     absent = [p for p, at in stored.items() if not (storage.is_file(at) or storage.is_dir(at))]
     if absent:
         raise FileNotFoundError(f"section index files not found: {absent}")
-    parts = []
-    for path in paths:
-        frame = read_index(spark, stored[path], spec, corpus.on_error)
-        parts.append(_tagged(frame, "section", path.split("/")[-2]).named())
-    return union_all(parts)
+    files = [(p.split("/")[-2], stored[p]) for p in paths]
+    frames = _tagged_frames(spark, spec, corpus, files, "section", as_cell=False)
+    return union_all([f.named(F.col("_tag").alias("section")) for f in frames])
 
 
 def _not_empty(df: DataFrame, message: str) -> DataFrame:

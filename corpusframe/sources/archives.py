@@ -193,15 +193,18 @@ def with_inner_archives(manifest: DataFrame, spec: LoadSpec, root: str) -> DataF
     paths = find_archives(manifest, list(spec.extract_files), root)
     archives = spark.createDataFrame([(p,) for p in paths], "path string")
     members = written(archive_members(archives, _python_regex(sidecar_pattern(spec))), "members")
-    placed = members.select(
+    # members of the same name: the archive listed last wins, as when unpacking in that order
+    order = F.element_at(F.create_map(*[F.lit(x) for i, p in enumerate(paths) for x in (p, i)]), F.col("archive"))
+    placed = members.withColumn("order", order).select(
+        "order",
         P.join(P.parent_dir(F.col("archive")), F.col("member")).alias("path"),
         "length",
         F.col("content").alias("archived"),
     )
     plain = manifest.select("path", "length", "modified")
     unpacked = placed.groupBy("path").agg(
-        F.first("length").alias("length"), F.first("archived").alias("archived")
-    )
+        F.max_by(F.struct("length", "archived"), "order").alias("last")
+    ).select("path", "last.*")
     kept = plain.join(unpacked.select("path"), "path", "left_anti")
     return manifest_of(kept.unionByName(unpacked, allowMissingColumns=True), root)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,16 +13,19 @@ from corpusframe.functions.paths import clean_root
 SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="corpusframe-")
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The folder the cluster names; only a local session may make its own."""
+    """The folder the cluster names; only a local session may use one of its own."""
     shared = spark.conf.get(SETTING, None)
     if shared:
         return clean_root(shared)
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="corpusframe-")
-    spark.conf.set(SETTING, made)
-    return made
+    return _local_folder(spark.conf.get("spark.app.id"))
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
