@@ -155,14 +155,17 @@ def _first_matches(pairs: DataFrame, keys: list[str], order: list[str]) -> DataF
     )
 
 
-def _with_status(matches: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per value from its few (ord, depth, path) matches."""
-    keys = [*keys, "_n"]
+def _with_status(matches: DataFrame, rule: PathRule) -> DataFrame:
+    """One row per value from its few (_roots, depth, path) matches."""
+    keys = [*rule.keys, "_n"]
+    # a file is listed under the first root above it, whichever root it matched under
+    above = F.transform(ROOTS, lambda root: P.is_under(F.col("path"), root))
+    placed = matches.select(*keys, "depth", "path", F.array_position(above, True).alias("_ord"))
 
     def paths(found: Column) -> Column:
         return F.slice(F.array_distinct(F.transform(F.array_sort(found), lambda m: m["path"])), 1, LISTED)
 
-    listed = matches.groupBy(*keys).agg(
+    listed = placed.groupBy(*keys).agg(
         paths(F.collect_list(F.struct("_ord", "depth", "path"))).alias("matches")
     )
     one = F.size("matches") == 1
@@ -207,17 +210,17 @@ def resolve_exact(
         keyed += [key("name", P.basename(longer)), key("rel", F.lower(longer))]
     wanted = (
         _prepared(values, rule)
-        .select(*rule.keys, "_n", F.posexplode_outer(ROOTS).alias("_ord", "root"), F.array(*keyed).alias("_k"))
-        .select(*rule.keys, "_n", "_ord", "root", F.explode_outer("_k").alias("k"))
-        .select(*rule.keys, F.col("_n").alias("_rows"), "_ord", "root", "k.kind", "k.key")
+        .select(*rule.keys, "_n", ROOTS, F.explode_outer(ROOTS).alias("root"), F.array(*keyed).alias("_k"))
+        .select(*rule.keys, "_n", ROOTS, "root", F.explode_outer("_k").alias("k"))
+        .select(*rule.keys, F.col("_n").alias("_rows"), ROOTS, "root", "k.kind", "k.key")
         .filter(F.col("key").isNotNull())
     )
     # many values can share one file name, so this lookup is guarded against hot keys too
     found = lookup(wanted, by_key, on, hot_rows=hot_rows).filter(F.col("found").isNotNull())
-    matches = found.select(*rule.keys, F.col("_rows").alias("_n"), "_ord", F.explode_outer("found").alias("f")).select(
-        *rule.keys, "_n", "_ord", "f.depth", "f.path"
-    )
-    return _with_status(matches, rule.keys)
+    matches = found.select(
+        *rule.keys, F.col("_rows").alias("_n"), ROOTS, F.explode_outer("found").alias("f")
+    ).select(*rule.keys, "_n", ROOTS, "f.depth", "f.path")
+    return _with_status(matches, rule)
 
 
 def _substrings(text: Column, lengths: list[int]) -> Column:
@@ -245,7 +248,7 @@ def resolve_contains(
     A substring shared by very many paths keeps only its first few before the join.
     """
     values = written(values.select(*rule.keys, "_n", ROOTS, F.lower(VALUE).alias("_needle")), "needles")
-    wanted = values.select(*rule.keys, "_n", "_needle", F.posexplode_outer(ROOTS).alias("_ord", "root"))
+    wanted = values.select(*rule.keys, "_n", ROOTS, "_needle", F.explode_outer(ROOTS).alias("root"))
     facts = wanted.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.length("_needle") + F.length("root")), F.lit(0)).alias("chars"),
@@ -265,7 +268,7 @@ def resolve_contains(
     else:
         first = _first_matches(grams, on, ["depth", "path"])
         matches = wanted.join(first, on)
-    return _with_status(matches.select(*rule.keys, "_n", "_ord", "depth", "path"), rule.keys)
+    return _with_status(matches, rule)
 
 
 def resolutions(counts: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
