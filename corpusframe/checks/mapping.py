@@ -168,8 +168,11 @@ def path_template(spark: SparkSession, sf: str) -> DataFrame:
         "key": D.column("c_custkey", "int"),
         "path": D.column("full name", "file_path", path_template=template),
     }
-    nothing = D.manifest(customer.filter("c_custkey < 0"), D.text_of("c_custkey"))
-    return map_columns(D.frame(customer), D.spec(columns=columns), D.corpus(nothing))
+    media = D.manifest(
+        D.table(spark, sf, "customer"),
+        D.placed(F.col("c_mktsegment"), "/", F.col("c_name"), "_", D.text_of("c_nationkey"), ".wav"),
+    )
+    return map_columns(D.frame(customer), D.spec(columns=columns), D.corpus(media))
 
 
 @check(

@@ -10,8 +10,10 @@ from corpusframe.functions.text import decode
 from corpusframe.operators import locate, sidecars
 from corpusframe.operators.mapping import map_columns
 from corpusframe.plans.layouts import glob_rows, json_frame, load, split_glob
+from corpusframe.sources import storage
 from corpusframe.sources.archives import archive_members
 from corpusframe.sources.files import (
+    io_tasks,
     list_files,
     manifest_of,
     matches_glob,
@@ -331,9 +333,8 @@ def multi_sections(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pack(batches):
-    """Test corpus only: each batch of documents becomes one archive, kinds taking turns."""
+    """Corpus preparation: every 500 documents become one archive, kinds taking turns."""
     import io
-    import os
     import tarfile
     import zipfile
 
@@ -344,21 +345,20 @@ def _pack(batches):
             part = batch.iloc[start : start + 500]
             first = part["doc_id"].iloc[0]
             kind = (".tar.gz", ".zip", ".tar")[first % 3]
-            target = f"{part['folder'].iloc[0]}/pack-{first}{kind}"
             names = [f"{lang}/{doc}.txt" for lang, doc in zip(part["lang"], part["doc_id"])]
             bodies = [text.encode("utf-8") for text in part["text"]]
-            os.makedirs(os.path.dirname(target), exist_ok=True)
+            out = io.BytesIO()
             if kind == ".zip":
-                with zipfile.ZipFile(target + ".tmp", "w") as packed:
+                with zipfile.ZipFile(out, "w") as packed:
                     for name, body in zip(names, bodies):
                         packed.writestr(name, body)
             else:
-                with tarfile.open(target + ".tmp", "w:gz" if kind == ".tar.gz" else "w") as packed:
+                with tarfile.open(fileobj=out, mode="w:gz" if kind == ".tar.gz" else "w") as packed:
                     for name, body in zip(names, bodies):
                         info = tarfile.TarInfo(name)
                         info.size = len(body)
                         packed.addfile(info, io.BytesIO(body))
-            os.replace(target + ".tmp", target)
+            storage.write_binary(f"{part['folder'].iloc[0]}/pack-{first}{kind}", out.getvalue())
         yield pd.DataFrame({"n": [len(batch)]})
 
 
@@ -369,7 +369,7 @@ def _pack(batches):
 def archive_members_query(spark: SparkSession, sf: str) -> DataFrame:
     folder = D.fresh(spark, "packs")
     docs = D.table(spark, sf, "documents").select("doc_id", "lang", "text", F.lit(folder).alias("folder"))
-    docs.repartition(8, "doc_id").mapInPandas(_pack, "n long").write.format("noop").mode("overwrite").save()
+    docs.repartition(io_tasks(spark), "doc_id").mapInPandas(_pack, "n long").write.format("noop").mode("overwrite").save()
     members = archive_members(list_files(spark, folder), r"\.txt$")
     return members.select("member", "length", decode(F.col("content"), "utf-8").alias("text"))
 

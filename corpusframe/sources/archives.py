@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusframe.functions import paths as P
 from corpusframe.sources import storage
-from corpusframe.sources.files import _io_tasks, glob_regex, manifest_of, union_all
+from corpusframe.sources.files import io_tasks, glob_regex, manifest_of, union_all
 from corpusframe.sources.scratch import written
 from corpusframe.spec import LoadSpec
 
@@ -131,7 +131,7 @@ def archive_members(
         for batch in batches:
             yield from _frames(_fetch(batch), ["archive", "member", "length", "content"], strict)
 
-    tasks = _io_tasks(archives.sparkSession)
+    tasks = io_tasks(archives.sparkSession)
     paths = archives.select("path")
     seekable = F.col("path").rlike(SEEKABLE)
     one_task_each = paths.filter(~seekable).repartition(tasks, "path").mapInPandas(streamed, MEMBERS)

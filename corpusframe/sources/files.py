@@ -21,7 +21,7 @@ _BATCH_BYTES = 32 << 20
 _CHUNK = 4 << 20
 
 
-def _io_tasks(spark: SparkSession) -> int:
+def io_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
@@ -58,7 +58,7 @@ def list_files(spark: SparkSession, roots: str | Iterable[str]) -> DataFrame:
         directories = level.filter("is_dir").select("path")
         if directories.isEmpty():
             break
-        frontier = directories.repartition(_io_tasks(spark), "path")
+        frontier = directories.repartition(io_tasks(spark), "path")
     return (
         spark.read.schema(LISTING)
         .parquet(*levels)
@@ -130,7 +130,7 @@ def read_contents(files: DataFrame, *keep: str) -> DataFrame:
     schema = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema if f.name != "archived"
     )
-    spread = wanted.repartition(_io_tasks(files.sparkSession), "path")
+    spread = wanted.repartition(io_tasks(files.sparkSession), "path")
     return spread.mapInPandas(_read_contents, schema + ", content binary")
 
 
@@ -156,27 +156,20 @@ def file_digests(files: DataFrame) -> DataFrame:
             F.octet_length("content").cast("long").alias("bytes_read"),
             F.sha2("content", 256).alias("sha256"),
         )
-    spread = files.select("path").repartition(_io_tasks(files.sparkSession), "path")
+    spread = files.select("path").repartition(io_tasks(files.sparkSession), "path")
     return spread.mapInPandas(_digest, "path string, bytes_read long, sha256 string")
 
 
 def _write_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import os
-
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            # a retried task writes the same bytes under the same final name
-            part = f"{path}.{os.getpid()}.tmp"
-            with open(part, "wb") as handle:
-                handle.write(bytes(content))
-            os.replace(part, path)
+            storage.write_binary(path, bytes(content))
         yield pd.DataFrame({"path": batch["path"]})
 
 
 def write_files(files: DataFrame) -> int:
     """Write one file per (path, content) row from the tasks; returns the number written."""
-    spread = files.select("path", "content").repartition(_io_tasks(files.sparkSession), "path")
+    spread = files.select("path", "content").repartition(io_tasks(files.sparkSession), "path")
     return spread.mapInPandas(_write_contents, "path string").count()
 
 

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from corpusframe.sources import storage
-from corpusframe.spec import LoadSpec
+from corpusframe.spec import LoadSpec, SpecError
 
 
 def _split_bytes(spark: SparkSession) -> int:
@@ -29,6 +29,8 @@ def _largest_file(path: str) -> int:
 def read_quoted(
     spark: SparkSession, path: str, schema: T.StructType, options: dict, spec: LoadSpec
 ) -> DataFrame:
+    if re.search(r"[*?{}\[\]]", path):
+        raise SpecError(f"index path '{path}' holds glob characters, which Spark would expand")
     reader = spark.read.schema(schema).options(**options)
     if spec.extra.get("single_line"):
         return reader.csv(path)

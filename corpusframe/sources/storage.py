@@ -32,6 +32,22 @@ def open_binary(path: str) -> BinaryIO:
     return system.open_input_file(inner)
 
 
+def write_binary(path: str, content: bytes) -> None:
+    """Write a whole small file under its final name; a retried task simply writes it again."""
+    remote = _remote(path)
+    if remote is not None:
+        system, inner = remote
+        system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(inner) as handle:
+            handle.write(content)
+        return
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    part = f"{path}.{os.getpid()}.tmp"
+    with open(part, "wb") as handle:
+        handle.write(content)
+    os.replace(part, path)
+
+
 def is_file(path: str) -> bool:
     remote = _remote(path)
     if remote is None:
