@@ -6,7 +6,6 @@ from pyspark.sql import Column, functions as F
 
 _ABSOLUTE = r"^(/|[A-Za-z][A-Za-z0-9+.-]*:/)"
 _URI = r"^[A-Za-z][A-Za-z0-9+.-]*:/"
-_UNTIDY = r"^$|//|/$|(?:^|/)\.(?:/|$)"
 
 
 def normalise(path: Column) -> Column:
@@ -15,7 +14,15 @@ def normalise(path: Column) -> Column:
     plain = F.regexp_replace(plain, r"(?:(?<=/)|^)\.(?:/|$)", "")
     plain = F.regexp_replace(plain, "(?<=.)/$", "")
     plain = F.regexp_replace(plain, "^$", ".")
-    return F.when(path.rlike(_UNTIDY) & ~is_uri(path), plain).otherwise(path)
+    untidy = (
+        path.contains("//")
+        | path.contains("/./")
+        | path.startswith("./")
+        | path.endswith("/")
+        | path.endswith("/.")
+        | path.isin("", ".")
+    )
+    return F.when(untidy & ~is_uri(path), plain).otherwise(path)
 
 
 def is_uri(path: Column) -> Column:

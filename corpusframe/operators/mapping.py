@@ -132,25 +132,27 @@ def path_rule(spec: LoadSpec, corpus: Corpus, column: ColumnSpec) -> PathRule:
 def _resolve_column(df, i, column, spec, corpus) -> DataFrame:
     rule = path_rule(spec, corpus, column)
     df = df.withColumnsRenamed({f"_value_{i}": VALUE, **{f"{t}_{i}": t for t in rule.row_roots}})
-    df = resolve_values(df, corpus.manifest, rule)
+    manifest = corpus.manifest
     if column.dtype == "file_content":
-        df = attach_content(df, corpus.manifest, spec.encoding)
+        df = resolve_values(df, manifest, rule, lambda r: attach_content(r, manifest, spec.encoding))
+    else:
+        df = resolve_values(df, manifest, rule)
     return df.drop(*rule.row_roots).withColumnsRenamed(
         {VALUE: f"_value_{i}", "path": f"_out_{i}", "status": f"_status_{i}", "matches": f"_matches_{i}"}
     )
 
 
-def attach_content(df: DataFrame, manifest: DataFrame, encoding: str) -> DataFrame:
+def attach_content(resolved: DataFrame, manifest: DataFrame, encoding: str) -> DataFrame:
     """Replace each resolved path by the stripped text of that file.
 
-    Only files that rows point at are read, each once. A path that is no listed file stays
-    as it is, with status 'unreadable'.
+    Only files that some value resolves to are read, each once. A path that is no listed file
+    stays as it is, with status 'unreadable'.
     """
-    counts = key_counts(df, ["path"])
+    counts = key_counts(resolved, ["path"])
     wanted = manifest.join(counts.select("path"), "path", "left_semi")
     texts = read_contents(wanted).select("path", strip(decode(F.col("content"), encoding)).alias("_text"))
-    joined = lookup(df, texts, ["path"], counts)
-    unread = F.col("path").isNotNull() & (F.col("path") != "") & F.col("_text").isNull()
+    joined = lookup(resolved, texts, ["path"], counts)
+    unread = F.col("path").isNotNull() & F.col("_text").isNull()
     return joined.withColumns(
         {
             "status": F.when(unread, F.lit("unreadable")).otherwise(F.col("status")),

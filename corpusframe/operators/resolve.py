@@ -8,6 +8,7 @@ candidate), 'missing', 'ambiguous' or 'null'.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -294,10 +295,20 @@ def resolutions(counts: DataFrame, manifest: DataFrame, rule: PathRule) -> DataF
     return hits.unionByName(search(rest, manifest, rule))
 
 
-def resolve_values(df: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
-    """Add ``path``, ``status`` and ``matches`` for the value column ``_value`` of each row."""
+def resolve_values(
+    df: DataFrame,
+    manifest: DataFrame,
+    rule: PathRule,
+    finish: Callable[[DataFrame], DataFrame] = lambda resolved: resolved,
+) -> DataFrame:
+    """Add ``path``, ``status`` and ``matches`` for the value column ``_value`` of each row.
+
+    ``finish`` may change the resolutions before they are joined to the rows; it sees every
+    distinct value once.
+    """
     counts = key_counts(df, rule.keys)
-    found = lookup(df, resolutions(counts, manifest, rule), rule.keys, counts)
+    resolved = finish(resolutions(counts, manifest, rule))
+    found = lookup(df, resolved, rule.keys, counts)
     value = F.col(VALUE)
     status = F.when(value.isNull(), F.lit("null")).when(value == "", F.lit("ok"))
     return found.withColumns({
