@@ -26,17 +26,31 @@ from corpusframe.sources.delimited import (
 from corpusframe.spec import LoadSpec
 
 BATCH = "batch_id"
+FILES_PER_BATCH = 10_000  # bounds what the driver lists for one micro-batch
 
 
-def _run(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], target: str,
-         checkpoint: str, trigger: dict) -> StreamingQuery:
+def _run(
+    stream: DataFrame,
+    to_frame: Callable[[DataFrame], IndexFrame],
+    spec: LoadSpec,
+    corpus: Corpus,
+    target: str,
+    checkpoint: str,
+    trigger: dict | None,
+) -> StreamingQuery:
     def take(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+        frame = to_frame(batch)
+        rows = frame.rows.persist()  # read the landed files once: the resolver passes over them twice
+        try:
+            mapped = map_columns(IndexFrame(rows, frame.names), spec, corpus)
+            mapped.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+        finally:
+            rows.unpersist()
 
     return (
         stream.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
@@ -49,19 +63,20 @@ def stream_index(
     target: str,
     checkpoint: str,
     trigger: dict | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Map index files as they land below ``landing``; all share one header."""
     separator, names = plan_read(spec, landing)
     options = reader_options(spec, separator)
     reader = spark.readStream.schema(positional_schema(len(names))).options(**options)
     multi_line = not spec.extra.get("single_line")
-    stream = reader.option("multiLine", multi_line).option("recursiveFileLookup", True).csv(landing)
+    reader = reader.option("multiLine", multi_line).option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.option("recursiveFileLookup", True).csv(landing)
 
-    def transform(batch: DataFrame) -> DataFrame:
-        frame = IndexFrame(tidy(batch, len(names), corpus.on_error), names)
-        return map_columns(frame, spec, corpus)
+    def to_frame(batch: DataFrame) -> IndexFrame:
+        return IndexFrame(tidy(batch, len(names), corpus.on_error), names)
 
-    return _run(stream, transform, target, checkpoint, trigger or {"availableNow": True})
+    return _run(stream, to_frame, spec, corpus, target, checkpoint, trigger)
 
 
 def stream_sidecars(
@@ -72,24 +87,26 @@ def stream_sidecars(
     target: str,
     checkpoint: str,
     trigger: dict | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Map JSON sidecars as they land; a source absent from a record is null."""
     stream = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", files_per_batch)
         .option("pathGlobFilter", (spec.file_pattern or "*.json").rsplit("/", 1)[-1])
         .load(landing)
         .select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "content")
     )
 
-    def transform(batch: DataFrame) -> DataFrame:
+    def to_frame(batch: DataFrame) -> IndexFrame:
         text = decode(F.col("content"), spec.encoding)
         parsed = F.parse_json(text) if corpus.on_error == "fail" else F.try_parse_json(text)
         records = explode_records(batch.select("path", parsed.alias("doc")), spec.record_path, corpus.on_error)
-        return map_columns(json_frame(records, spec, check=False), spec, corpus)
+        return json_frame(records, spec, check=False)
 
-    return _run(stream, transform, target, checkpoint, trigger or {"availableNow": True})
+    return _run(stream, to_frame, spec, corpus, target, checkpoint, trigger)
 
 
 def loaded_so_far(spark: SparkSession, target: str) -> DataFrame:
