@@ -9,7 +9,7 @@ that length. Only DataFrame functions are used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusframe.llm.registry import register, table
 from corpusframe.sources.scratch import written
@@ -65,29 +65,12 @@ def ranks_of(first: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
-    """Maximal repeated runs: (doc_id, start, length) where ``length`` lines from non-blank line ``start``
-    also stand elsewhere, one more does not, and the run is not the tail of one that starts a line before.
-
-    Doubling goes on until no prefix repeats; the exact length of each suffix's longest repeated prefix
-    is then put together from the largest power of two down.
-    """
-    first = first_ranks(_identified(docs, doc_id, text), text)
-    levels = [first]
-    while not levels[-1].isEmpty():
-        levels.append(combined(levels[-1], levels[-1], 1 << (len(levels) - 1)))
-    now = first.select(*PLACE, F.lit(0).cast("long").alias("rank"), F.lit(0).alias("length"))
-    for k in range(len(levels) - 1, -1, -1):
-        step = levels[k].select("_order", "_key", F.col("_at").alias("_next"), F.col("rank").alias("b"))
-        pairs = now.withColumn("_next", F.col("_at") + F.col("length")).join(step, ["_order", "_key", "_next"])
-        repeated = pairs.groupBy("rank", "b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("rank", "b")
-        longer = pairs.join(_ranked(repeated, ["rank", "b"], "ranks"), ["rank", "b"])
-        longer = longer.select(*PLACE, (F.col("_rank") + 1).alias("_longer"))
-        now = now.join(longer, PLACE, "left")
-        # ranks of different levels never meet: a suffix's length tells which level its rank is of
-        now = written(now.select(*PLACE, F.when(F.col("_longer").isNull(), F.col("rank")).otherwise(F.xxhash64("_longer", F.lit(k))).alias("rank"), (F.col("length") + F.when(F.col("_longer").isNull(), 0).otherwise(1 << k)).alias("length")), "lengths")
-    before = now.select("_order", "_key", (F.col("_at") + 1).alias("_at"), (F.col("length") - 1).alias("left"))
-    runs = now.join(before, PLACE, "left").filter((F.col("length") >= min_lines) & (F.coalesce("left", F.lit(-1)) < F.col("length")))
-    return runs.select(F.when(F.col("_order") != LAST, F.col("_order")).alias("doc_id"), F.col("_at").alias("start"), "length")
+    """Maximal repeated runs (doc_id, start, length): stretches of non-blank lines, numbered from 0, every
+    ``min_lines`` of which in a row are an interval of the suffix array with at least two members."""
+    ranks = ranks_of(first_ranks(_identified(docs, doc_id, text), text), min_lines)
+    nth = F.row_number().over(Window.partitionBy("_order", "_key").orderBy("_at"))
+    runs = ranks.withColumn("island", F.col("_at") - nth).groupBy("_order", "_key", "island").agg(F.min("_at").alias("start"), (F.count(F.lit(1)) + min_lines - 1).alias("length"))
+    return runs.select(F.when(F.col("_order") != LAST, F.col("_order")).alias("doc_id"), "start", "length")
 
 
 def _removed(docs: DataFrame, text: str, min_lines: int) -> DataFrame:
@@ -110,21 +93,21 @@ def with_lines_removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     text has no line that can go. Repeated rows of one id and text are one document, not copies.
     """
     named = _identified(docs, doc_id, text)
-    gone = _removed(named, text, min_lines).withColumnsRenamed({"_order": "_o", "_key": "_k"})
-    found = named.join(gone, [F.col("_order") == F.col("_o"), F.col("_key") == F.col("_k")], "left")
-    lines = _lines(text)
-    full = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: ~F.get(lines, i).rlike(_BLANK))
-    found = found.withColumn("_lines", F.when(F.col("gone").isNotNull(), lines))
-    numbers = F.transform(F.col("gone"), lambda i: F.get(F.col("_full"), i))
-    found = found.withColumn("_full", F.when(F.col("gone").isNotNull(), full))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), numbers)
-    joined = F.array_join(F.transform(kept, lambda i: F.get(F.col("_lines"), i)), "\n")
+    gone = _removed(named.select("_order", "_key", F.col(text).alias("text")), "text", min_lines)
+    gone = gone.select(F.col("_order").alias("_ld_order"), F.col("_key").alias("_ld_key"), F.col("gone").alias("_ld_gone"))
+    found = named.join(gone, [F.col("_order") == F.col("_ld_order"), F.col("_key") == F.col("_ld_key")], "left")
+    there, lines = F.col("_ld_gone").isNotNull(), F.col("_ld_lines")
+    found = found.withColumn("_ld_lines", F.when(there, _lines(text)))
+    every = F.sequence(F.lit(0), F.size(lines) - 1)
+    found = found.withColumn("_ld_full", F.when(there, F.filter(every, lambda i: ~F.get(lines, i).rlike(_BLANK))))
+    numbers = F.transform(F.col("_ld_gone"), lambda i: F.get(F.col("_ld_full"), i))
+    kept = F.array_join(F.transform(F.array_except(every, numbers), lambda i: F.get(lines, i)), "\n")
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.length(F.col(text)) - F.length(F.translate(F.col(text), "\n", "")) + 1)
     return found.select(
         *[F.col(f"`{c}`") for c in docs.columns],
         n_lines.cast("long").alias("_n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("_n_removed"),
-        F.when(F.col("gone").isNotNull(), joined).otherwise(F.col(text)).alias("_kept"),
+        F.when(there, F.size("_ld_gone")).otherwise(0).cast("long").alias("_n_removed"),
+        F.when(there, kept).otherwise(F.col(text)).alias("_kept"),
     )
 
 

@@ -1,4 +1,6 @@
 import random
+from collections import Counter
+from itertools import groupby
 
 import pytest
 
@@ -54,20 +56,14 @@ def test_maximal_runs(spark):
     docs = [[rng.choice("abcdef") for _ in range(rng.randint(1, 12))] for _ in range(12)]
     docs[5] = docs[2] + ["z"]
     got = {tuple(r) for r in lines.repeated_runs(documents(spark, ["\n".join(d) for d in docs])).collect()}
-    places = [(d, p) for d, own in enumerate(docs) for p in range(len(own))]
-
-    def longest(d, p):
-        best = 0
-        for e, q in places:
-            if (e, q) != (d, p):
-                n = 0
-                while p + n < len(docs[d]) and q + n < len(docs[e]) and docs[d][p + n] == docs[e][q + n]:
-                    n += 1
-                best = max(best, n)
-        return best
-
-    size = {x: longest(*x) for x in places}
-    assert got == {(d, p, n) for (d, p), n in size.items() if n >= 2 and size.get((d, p - 1), 0) - 1 < n}
+    windows = Counter(tuple(own[p : p + 2]) for own in docs for p in range(len(own) - 1))
+    want = set()
+    for d, own in enumerate(docs):
+        starts = [p for p in range(len(own) - 1) if windows[tuple(own[p : p + 2])] > 1]
+        for _, group in groupby(enumerate(starts), lambda x: x[1] - x[0]):
+            group = [p for _, p in group]
+            want.add((d, group[0], len(group) + 1))
+    assert got == want
 
 
 def test_null_ids_repeated_rows_and_empty_tables(spark):
