@@ -7,14 +7,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 # What marks a key as sensitive, and what its value becomes.
 SENSITIVE = ("url", "token")
 REDACTED = "***REDACTED***"
-_NESTING = 64
+_NESTING = 500  # of a value under a sensitive key; a deeper one is an error, never left in
 
-_STRING = r'"(?:[^"\\]|\\.)*+"'
+# every repetition is possessive: it never gives back, so long values take no stack
+_INNER = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
+_STRING = rf'"{_INNER}"'
 
 
 def _sensitive_key() -> str:
-    inner = r'(?:[^"\\]|\\.)'
-    return rf'"(?={inner}*?(?iu:{"|".join(SENSITIVE)})){inner}*+"\s*+:\s*+'
+    word = rf'(?iu:{"|".join(SENSITIVE)})'
+    return rf'"(?:(?!{word})(?:[^"\\]|\\.))*+{word}{_INNER}"\s*+:\s*+'
 
 
 def _value(nesting: int) -> str:
@@ -43,19 +45,20 @@ def redact_json(text: Column) -> Column:
 
 
 def tolerant_records(df: DataFrame, text: str, declared: tuple[str, ...], required: str = "id") -> DataFrame:
-    """Declared fields as text columns, unknown ones kept in the map ``extras``.
+    """Declared fields as text columns, unknown ones kept with their types in the map ``extras``.
 
     ``present`` lists the keys a record really had, null values included. ``problem`` names
     a required key that is absent or not text.
     """
     fields = F.from_json(F.col(text), "map<string,string>")
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(text), f"$.{required}", "variant"))
-    parsed = df.withColumns({"_fields": fields, "_kind": kind})
+    typed = F.from_json(F.col(text), "map<string,variant>")
+    parsed = df.withColumns({"_fields": fields, "_typed": typed, "_kind": kind})
     known = F.array(*[F.lit(d) for d in declared])
     return parsed.select(
         *[c for c in df.columns if c != text],
         *[F.try_element_at("_fields", F.lit(d)).alias(d) for d in declared],
         F.array_sort(F.map_keys("_fields")).alias("present"),
-        F.map_filter("_fields", lambda k, _: ~F.array_contains(known, k)).alias("extras"),
+        F.map_filter("_typed", lambda k, _: ~F.array_contains(known, k)).alias("extras"),
         F.when(F.coalesce(F.col("_kind"), F.lit("")) != "STRING", F.lit(f"{required}:required")).alias("problem"),
     )
