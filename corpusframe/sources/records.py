@@ -31,6 +31,8 @@ def read_quoted(
 ) -> DataFrame:
     if re.search(r"[*?{}\[\]]", path):
         raise SpecError(f"index path '{path}' holds glob characters, which Spark would expand")
+    if path.rsplit("/", 1)[-1].startswith(("_", ".")):
+        raise SpecError(f"index '{path}' begins with '_' or '.'; Spark's readers pass over such files, so it must be renamed")
     reader = spark.read.schema(schema).options(**options)
     if spec.extra.get("single_line"):
         return reader.csv(path)
@@ -38,7 +40,10 @@ def read_quoted(
     by_lines = len(options["sep"]) == 1 and options["encoding"] in ("UTF-8", "US-ASCII", "ISO-8859-1")
     if one_task_is_enough or not by_lines:
         return reader.option("multiLine", True).csv(path)
-    if not spans_lines(spark, path, options):
+    spanning, odd_breaks = line_breaks(spark, path, options)
+    if odd_breaks:  # only the whole-file reader knows which kind of break a file uses
+        return reader.option("multiLine", True).csv(path)
+    if not spanning:
         return reader.csv(path)
     return assemble(spark, path, schema, options)
 
@@ -72,9 +77,12 @@ def _lines(spark: SparkSession, path: str, options: dict) -> DataFrame:
     )
 
 
-def spans_lines(spark: SparkSession, path: str, options: dict) -> bool:
-    """True when some record holds a line break: a line begun outside ends inside a quote."""
-    return not _lines(spark, path, options).filter("after_out = 1").limit(1).isEmpty()
+def line_breaks(spark: SparkSession, path: str, options: dict) -> tuple[bool, bool]:
+    """Whether some record holds a line break (a line begun outside ends inside a quote), and whether
+    some line holds a carriage return that no line feed follows."""
+    lines = _lines(spark, path, options)
+    spanning, odd = lines.agg(F.max(F.col("after_out") == 1), F.max(F.contains("line", F.lit("\r")))).first()
+    return bool(spanning), bool(odd)
 
 
 def assemble(
@@ -146,11 +154,13 @@ def assemble(
         .groupBy("file", "record")
         .agg(F.array_join(F.transform(F.array_sort(F.collect_list("piece")), lambda p: p["line"]), "\n").alias("text"))
     )
-    if options["header"]:
-        records = records.filter(~((F.col("record.block") == 0) & (F.col("record.begun") == 1)))
+    records = records.filter(F.trim("text") != "")
+    if options["header"]:  # the first record that is not blank, as the whole-file reader has it
+        heads = records.groupBy("file").agg(F.min("record").alias("record"))
+        records = records.join(heads, ["file", "record"], "left_anti")
     parser = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items()
               if k in ("sep", "quote", "escape", "ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace")}
-    parsed = records.filter(F.trim("text") != "").select(
+    parsed = records.select(
         F.from_csv("text", schema.simpleString()[len("struct<"):-1].replace(":", " "), parser).alias("r")
     )
     return parsed.select("r.*")

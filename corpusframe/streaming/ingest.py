@@ -12,17 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from corpusframe.functions import paths as P
 from corpusframe.functions.text import decode
 from corpusframe.operators.mapping import Corpus, map_columns
 from corpusframe.operators.sidecars import explode_records
 from corpusframe.plans.layouts import json_frame
 from corpusframe.sources.delimited import (
     IndexFrame,
+    check_headers,
     plan_read,
     positional_schema,
     reader_options,
     tidy,
 )
+from corpusframe.sources.files import glob_regex
 from corpusframe.spec import LoadSpec
 
 BATCH = "batch_id"
@@ -65,15 +68,19 @@ def stream_index(
     trigger: dict | None = None,
     files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
-    """Map index files as they land below ``landing``; all share one header."""
+    """Map index files as they land below ``landing``; one with another header stops the stream."""
     separator, names = plan_read(spec, landing)
     options = reader_options(spec, separator)
     reader = spark.readStream.schema(positional_schema(len(names))).options(**options)
     multi_line = not spec.extra.get("single_line")
     reader = reader.option("multiLine", multi_line).option("maxFilesPerTrigger", files_per_batch)
-    stream = reader.option("recursiveFileLookup", True).csv(landing)
+    # the metadata column gives an encoded URI
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    landed = F.regexp_replace(decoded, "^file:/+", "/").alias("_landed")
+    stream = reader.option("recursiveFileLookup", True).csv(landing).select("*", landed)
 
     def to_frame(batch: DataFrame) -> IndexFrame:
+        check_headers(batch.select(F.col("_landed").alias("path")).distinct(), spec, separator, names)
         return IndexFrame(tidy(batch, len(names), corpus.on_error), names)
 
     return _run(stream, to_frame, spec, corpus, target, checkpoint, trigger)
@@ -98,6 +105,7 @@ def stream_sidecars(
         .option("pathGlobFilter", (spec.file_pattern or "*.json").rsplit("/", 1)[-1])
         .load(landing)
         .select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "content")
+        .filter(P.relative_to(F.col("path"), F.lit(P.clean_root(landing))).rlike(glob_regex(spec.file_pattern or "*.json")))
     )
 
     def to_frame(batch: DataFrame) -> IndexFrame:

@@ -2,6 +2,7 @@ import pytest
 from conftest import rows
 
 from corpusframe import load
+from corpusframe.spec import SpecError
 
 
 def spec(columns=None, task="ASR", **more):
@@ -91,31 +92,22 @@ def test_fraction_in_int_column_follows_policy(spark, tree):
 
 
 def test_template_builds_names_under_second_root(spark, tree):
-    name = "f-adt1-0001_khm_recipes_01_0001_0001.wav"
     root = tree(
         {
-            "dataset/data/metadata.csv": "Speaker ID,Sentence ID,Sentences\nf-adt1-0001,recipes_01_0001_0001,hi\n",
-            f"dataset/data/recipes/{name}": "",
+            "station/lists/log.csv": "Observer,Shelf  Mark,Remark\nnora,B17,wind from west\n",
+            "station/tapes/outdoor/B17 by nora.flac": "",
         }
     )
     columns = {
-        "audio_path": {
-            "source_column": "Sentence ID",
-            "dtype": "file_path",
-            "path_template": "${Speaker ID}_khm_${ sentence  id }.wav",
-        },
-        "t": {"source_column": "Sentences"},
+        "audio_path": {"source_column": "Shelf Mark", "dtype": "file_path", "path_template": "${ shelf  mark } by ${Observer}.flac"},
+        "remark": {"source_column": "Remark"},
     }
-    out = load(
-        spark,
-        spec(columns, index_file="dataset/data/metadata.csv",
-             base_audio_path=["dataset/data/questions/", "dataset/data/recipes/"]),
-        root,
-    )
-    assert rows(out)[0]["audio_path"] == f"{root}/dataset/data/recipes/{name}"
-    columns["audio_path"]["path_template"] = "${Nope}.wav"
-    with pytest.raises(KeyError, match="Nope"):
-        load(spark, spec(columns, index_file="metadata.csv"), root)
+    folders = ["station/tapes/indoor/", "station/tapes/outdoor/"]
+    out = load(spark, spec(columns, index_file="station/lists/log.csv", base_audio_path=folders), root)
+    assert rows(out) == [{"audio_path": f"{root}/station/tapes/outdoor/B17 by nora.flac", "remark": "wind from west"}]
+    columns["audio_path"]["path_template"] = "${Weather}.flac"
+    with pytest.raises(KeyError, match="Weather"):
+        load(spark, spec(columns, index_file="log.csv"), root)
 
 
 @pytest.mark.parametrize("strategy", ["direct", "exact", "contains"])
@@ -144,39 +136,27 @@ def test_second_root_wins_when_only_it_holds_the_file(spark, tree):
 
 
 def test_value_that_already_holds_the_media_folder(spark, tree):
-    root = tree({"m.csv": "path\ndata/recipes/clip.wav\n./data//recipes/clip.wav\n", "data/recipes/clip.wav": ""})
-    s = spec({"p": path_column()}, index_file="m.csv", base_audio_path="data/recipes/")
-    assert rows(load(spark, s, root)) == [{"p": f"{root}/data/recipes/clip.wav"}] * 2
+    root = tree({"m.csv": "path\ntapes/west/gull.wav\n./tapes//west/gull.wav\n", "tapes/west/gull.wav": ""})
+    s = spec({"p": path_column()}, index_file="m.csv", base_audio_path="tapes/west/")
+    assert rows(load(spark, s, root)) == [{"p": f"{root}/tapes/west/gull.wav"}] * 2
 
 
 def test_exact_search(spark, tree):
-    root = tree(
-        {
-            "m.csv": "path\nclip_001\nSub/Clip_002\nother/clip_003.wav\n",
-            "audio/nested/clip_001.wav": "",
-            "audio/sub/clip_002.WAV": "",
-            "audio/deep/er/clip_003.wav": "",
-            "audio/nested/._clip_001.wav": "",
-            "audio/nested/clip_001.txt": "",
-            "_hidden/clip_009.wav": "",
-        }
-    )
+    found = ["birds/north/a/gull.wav", "birds/owl.wav", "birds/south/Heron.WAV"]
+    passed_over = ["birds/._owl.wav", "birds/owl.csv", "frogs/owl.wav"]
+    root = tree({"m.csv": "path\nowl\nSouth/Heron\nelsewhere/gull.wav\n", **dict.fromkeys(found + passed_over, "")})
     column = path_column(path_match_strategy="exact", file_extension=".wav")
-    s = spec({"p": column}, index_file="m.csv", base_audio_path="audio/")
-    assert [r["p"].removeprefix(root) for r in rows(load(spark, s, root))] == [
-        "/audio/deep/er/clip_003.wav",
-        "/audio/nested/clip_001.wav",
-        "/audio/sub/clip_002.WAV",
-    ]
+    s = spec({"p": column}, index_file="m.csv", base_audio_path="birds/")
+    assert [r["p"].removeprefix(f"{root}/") for r in rows(load(spark, s, root))] == found
 
 
 def test_contains_search_and_ambiguity(spark, tree):
-    files = {"m.csv": "path\nCLIP_001\n", "audio/nested/speaker_clip_001_take1.wav": ""}
+    files = {"m.csv": "path\nGULL-7\n", "birds/north/dawn gull-7 far.wav": ""}
     root = tree(files)
-    s = spec({"p": path_column(path_match_strategy="contains")}, index_file="m.csv", base_audio_path="audio/")
-    assert rows(load(spark, s, root)) == [{"p": f"{root}/audio/nested/speaker_clip_001_take1.wav"}]
-    tree({"audio/speaker_clip_001_take2.wav": ""})
-    with pytest.raises(Exception, match="p:ambiguous.*take2.wav.*take1.wav"):
+    s = spec({"p": path_column(path_match_strategy="contains")}, index_file="m.csv", base_audio_path="birds/")
+    assert rows(load(spark, s, root)) == [{"p": f"{root}/birds/north/dawn gull-7 far.wav"}]
+    tree({"birds/dusk gull-7 near.wav": ""})
+    with pytest.raises(Exception, match="p:ambiguous.*near.wav.*far.wav"):
         load(spark, s, root).collect()
     quarantined = rows(load(spark, s, root, on_error="quarantine"))
     assert quarantined == [{"p": None, "_problems": ["p:ambiguous"]}]
@@ -264,3 +244,27 @@ def test_sharded_index_folder(spark, tree):
                  "x/train.tsv/_SUCCESS": ""})
     s = spec({"p": {"source_column": "path"}, "n": {"source_column": "n", "dtype": "int"}}, index_file="train.tsv")
     assert rows(load(spark, s, root)) == [{"p": "a", "n": 1}, {"p": "b", "n": 2}]
+
+
+def test_shards_with_another_header_are_refused(spark, tree):
+    root = tree({"m.csv/part-0.csv": "a,b\n1,2\n", "m.csv/part-1.csv": "b,a\n20,10\n"})
+    columns = {c: {"source_column": c, "dtype": "int"} for c in "ab"}
+    with pytest.raises(SpecError, match="part-1.csv.*others have"):
+        load(spark, spec(columns, index_file="m.csv"), root)
+    root = tree({"_m.csv": "a,b\n1,2\n"})
+    with pytest.raises(SpecError, match="renamed"):
+        load(spark, spec(columns, index_file="_m.csv"), root)
+
+
+@pytest.mark.parametrize("text", ['\na,b\n1,"x\ny"\n2,z\n', 'a,b\r1,"x\ry"\r2,z\r', 'a,b\r\n1,"x\r\ny"\r\n2,z\r\n', "\n\na,b\n1,x\n"])
+def test_same_rows_at_every_file_size(spark, tree, text):
+    root = tree({"m.csv": text * 1})
+    columns = {"a": {"source_column": "a", "dtype": "int"}, "b": {"source_column": "b"}}
+    whole = rows(load(spark, spec(columns, index_file="m.csv"), root))
+    assert whole and all(r["a"] is not None for r in whole)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9b")
+        assert rows(load(spark, spec(columns, index_file="m.csv"), root)) == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -70,54 +70,54 @@ def test_paired_text(spark, tree):
 
 
 DOC = {
-    "audio": {"filename": "rec1.webm", "duration_sec": 12.5, "tags": ["a", "b"]},
-    "metadata": {"gender": "f", "id": 7},
-    "flat.key": "literal",
-    "speaker": "meta wins",
-    "transcriptions": [
-        {"utt_id": "u1", "speaker": "s1", "text": "hello", "t": {"start": 0.5}},
-        {"utt_id": "u2", "speaker": "s2", "text": "bye", "t": {"start": 1}},
+    "call": {"media": "desk-4.webm", "seconds": 12.5, "labels": ["x", "y"]},
+    "office": {"floor": "third", "desk": 7},
+    "dotted.name": "as it is",
+    "voice": "of the record",
+    "turns": [
+        {"ref": "q1", "voice": "v1", "said": "which floor", "at": {"from": 0.5}},
+        {"ref": "q2", "voice": "v2", "said": "the third", "at": {"from": 1}},
     ],
 }
 JSON_COLUMNS = {
-    "audio_path": {"source_column": "audio.filename", "dtype": "file_path", "path_match_strategy": "exact"},
-    "utt": {"source_column": "utt_id"},
-    "text": {"source_column": "text"},
-    "start": {"source_column": "t.start", "dtype": "float"},
-    "speaker": {"source_column": "speaker"},
-    "flat": {"source_column": "flat.key"},
-    "mid": {"source_column": "metadata.id", "dtype": "int"},
-    "tags": {"source_column": "audio.tags"},
-    "age": {"source_column": "metadata.age", "optional": True},
+    "audio_path": {"source_column": "call.media", "dtype": "file_path", "path_match_strategy": "exact"},
+    "ref": {"source_column": "ref"},
+    "said": {"source_column": "said"},
+    "start": {"source_column": "at.from", "dtype": "float"},
+    "voice": {"source_column": "voice"},
+    "flat": {"source_column": "dotted.name"},
+    "desk": {"source_column": "office.desk", "dtype": "int"},
+    "labels": {"source_column": "call.labels"},
+    "age": {"source_column": "office.age", "optional": True},
 }
 
 
 def test_paired_json_records(spark, tree):
-    other = {**DOC, "transcriptions": []}
-    root = tree({"a/rec1.merged.json": json.dumps(DOC), "a/b[1].merged.json": json.dumps(other),
-                 "a/._rec1.merged.json": "junk", "a/rec1.webm": ""})
-    more = dict(format="json", root_strategy="paired_glob", file_pattern="**/*.merged.json", record_path="transcriptions")
+    other = {**DOC, "turns": []}
+    root = tree({"a/desk4.call.json": json.dumps(DOC), "a/b[1].call.json": json.dumps(other),
+                 "a/._desk4.call.json": "junk", "a/desk-4.webm": ""})
+    more = dict(format="json", root_strategy="paired_glob", file_pattern="**/*.call.json", record_path="turns")
     out = load(spark, spec("ASR", columns=JSON_COLUMNS, **more), root)
     assert out.columns == [c for c in JSON_COLUMNS if c != "age"]
-    assert rows(out, "utt")[0] == {
-        "audio_path": f"{root}/a/rec1.webm", "utt": "u1", "text": "hello", "start": 0.5,
-        "speaker": "meta wins", "flat": "literal", "mid": 7, "tags": '["a","b"]',
+    assert rows(out, "ref")[0] == {
+        "audio_path": f"{root}/a/desk-4.webm", "ref": "q1", "said": "which floor", "start": 0.5,
+        "voice": "of the record", "flat": "as it is", "desk": 7, "labels": '["x","y"]',
     }
     assert out.count() == 2
-    required = {**JSON_COLUMNS, "age": {"source_column": "metadata.age"}}
-    with pytest.raises(KeyError, match="metadata.age"):
+    required = {**JSON_COLUMNS, "age": {"source_column": "office.age"}}
+    with pytest.raises(KeyError, match="office.age"):
         load(spark, spec("ASR", columns=required, **more), root)
-    tree({"a/z.merged.json": json.dumps({"audio": {"filename": "rec1.webm"}})})
-    with pytest.raises(Exception, match="record_path 'transcriptions' not found"):
+    tree({"a/z.call.json": json.dumps({"call": {"media": "desk-4.webm"}})})
+    with pytest.raises(Exception, match="record_path 'turns' not found"):
         load(spark, spec("ASR", columns=JSON_COLUMNS, **more), root).collect()
 
 
 def test_paired_json_without_records(spark, tree):
     root = tree({"one.json": json.dumps(DOC), "two.json": json.dumps([{"Id": 1, "id": 2}, {"Id": 3, "id": 4}])})
-    columns = {"g": {"source_column": "metadata.gender"}, "i": {"source_column": "Id"}, "j": {"source_column": "id"}}
+    columns = {"g": {"source_column": "office.floor"}, "i": {"source_column": "Id"}, "j": {"source_column": "id"}}
     out = load(spark, spec("ASR", format="json", root_strategy="paired_glob", file_pattern="*.json", columns=columns), root)
     assert rows(out, "i") == [
-        {"g": None, "i": "1", "j": "2"}, {"g": None, "i": "3", "j": "4"}, {"g": "f", "i": None, "j": None},
+        {"g": None, "i": "1", "j": "2"}, {"g": None, "i": "3", "j": "4"}, {"g": "third", "i": None, "j": None},
     ]
     with pytest.raises(ValueError, match="json"):
         load(spark, spec("ASR", root_strategy="paired_glob", file_pattern="*.json", columns=columns), root)
