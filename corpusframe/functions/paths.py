@@ -25,6 +25,28 @@ def normalise(path: Column) -> Column:
     return F.when(untidy & ~is_uri(path), plain).otherwise(path)
 
 
+def collapse(path: Column) -> Column:
+    """The path without '..' parts: each takes the part before it away, none goes above the root."""
+    empty = F.array().cast("array<string>")
+
+    def step(kept: Column, part: Column) -> Column:
+        up = F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(1)))
+        return F.when(part == "..", up).otherwise(F.concat(kept, F.array(part)))
+
+    return F.when(path.contains("/.."), F.array_join(F.aggregate(F.split(path, "/"), empty, step), "/")).otherwise(path)
+
+
+def real(path: str) -> str:
+    """As ``collapse``, for one absolute path of a spec."""
+    kept: list[str] = []
+    for part in path.split("/"):
+        if part == "..":
+            kept = kept[: max(len(kept) - 1, 1)]
+        else:
+            kept.append(part)
+    return "/".join(kept)
+
+
 def is_uri(path: Column) -> Column:
     return path.contains(":/") & path.rlike(_URI)
 

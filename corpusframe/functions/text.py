@@ -37,9 +37,21 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
+# characters whose case fold is not their lower case, by the rule of the Unicode tables Python carries
+FOLDS = {c: c.casefold() for c in map(chr, range(0x20000)) if c.casefold() != c.lower()}
+# the capital sigma is there because the JVM's lower case of it depends on its place in a word
+_SINGLE = {c: f for c, f in FOLDS.items() if len(f) == 1} | {"Σ": "σ"}
+_SEVERAL = {c: f for c, f in FOLDS.items() if len(f) > 1}
+
+
 def fold(text: Column) -> Column:
-    """Case-insensitive key. Lower-casing, so it does not equate 'ß' with 'ss'."""
-    return F.lower(text)
+    """Case-insensitive key by full case folding: 'ß' equals 'ss', 'ſ' equals 's'."""
+    folded = F.translate(text, "".join(_SINGLE), "".join(_SINGLE.values()))
+    longer = folded
+    for char, several in _SEVERAL.items():
+        longer = F.replace(longer, F.lit(char), F.lit(several))
+    plain, single = text.rlike(r"^\p{ASCII}*$"), ~text.rlike(f"[{''.join(_SEVERAL)}]")
+    return F.lower(F.when(plain, text).when(single, folded).otherwise(longer))
 
 
 def squeeze(text: Column) -> Column:

@@ -21,12 +21,20 @@ PROBLEMS = "_problems"
 
 @dataclass(frozen=True)
 class Corpus:
-    """Where files are looked up. ``files`` is the manifest, or a function that lists it."""
+    """Where files are looked up. ``files`` is the manifest, or a function that lists it.
+
+    ``outside`` lists the media roots that are not below the corpus root; only lookups see their files.
+    """
 
     dataset_root: str
     extract_root: str
     files: object
     on_error: str = "fail"
+    outside: object = None
+
+    @property
+    def media(self) -> DataFrame:
+        return self.manifest if self.outside is None else self.outside(self.manifest)
 
     @property
     def manifest(self) -> DataFrame:
@@ -69,16 +77,19 @@ def map_columns(
         else:
             staged[f"_out_{i}"] = C.cast(cell, column.dtype)
             if column.dtype == "int":
-                staged[f"_bad_{i}"] = C.is_fractional(cell)
+                staged[f"_bad_{i}"] = C.is_unfit_int(cell)
                 problems.append(F.when(F.col(f"_bad_{i}"), F.lit(f"{name}:not_whole")))
     ragged = ["_ragged"] if "_ragged" in frame.rows.columns else []
     if ragged:
         problems.insert(0, F.when(F.col("_ragged"), F.lit("record:too_long")))
     df = frame.rows.select(*[c.alias(n) for n, c in staged.items()], *tags, *ragged)
 
+    # keys are counted on the staged rows, not on rows already joined for the columns before:
+    # each path column adds one scan to the plan instead of multiplying it
+    staged_rows = df
     for i, (name, column, _) in enumerate(planned):
         if column.is_path:
-            df = _resolve_column(df, i, column, spec, corpus)
+            df = _resolve_column(df, staged_rows, i, column, spec, corpus)
             bad = F.col(f"_status_{i}").isin("missing", "ambiguous", "unreadable")
             problems.append(F.when(bad, F.concat(F.lit(f"{name}:"), F.col(f"_status_{i}"))))
     return _finish(df, planned, tags, problems, corpus.on_error)
@@ -129,14 +140,16 @@ def path_rule(spec: LoadSpec, corpus: Corpus, column: ColumnSpec) -> PathRule:
     )
 
 
-def _resolve_column(df, i, column, spec, corpus) -> DataFrame:
+def _resolve_column(df, staged_rows, i, column, spec, corpus) -> DataFrame:
     rule = path_rule(spec, corpus, column)
-    df = df.withColumnsRenamed({f"_value_{i}": VALUE, **{f"{t}_{i}": t for t in rule.row_roots}})
-    manifest = corpus.manifest
+    own = {f"_value_{i}": VALUE, **{f"{t}_{i}": t for t in rule.row_roots}}
+    df = df.withColumnsRenamed(own)
+    counts = key_counts(staged_rows.withColumnsRenamed(own), rule.keys)
+    manifest = corpus.media
     if column.dtype == "file_content":
-        df = resolve_values(df, manifest, rule, lambda r: attach_content(r, manifest, spec.encoding))
+        df = resolve_values(df, manifest, rule, lambda r: attach_content(r, manifest, spec.encoding), counts)
     else:
-        df = resolve_values(df, manifest, rule)
+        df = resolve_values(df, manifest, rule, counts=counts)
     return df.drop(*rule.row_roots).withColumnsRenamed(
         {VALUE: f"_value_{i}", "path": f"_out_{i}", "status": f"_status_{i}", "matches": f"_matches_{i}"}
     )

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusframe.functions import paths as P
+from corpusframe.functions.text import fold
 from corpusframe.operators.skew import HOT_ROWS, key_counts, lookup
 from corpusframe.sources.files import has_extension, visible
 from corpusframe.sources.scratch import written
@@ -122,7 +123,9 @@ def candidate_at(values: DataFrame, rule: PathRule, order: str) -> DataFrame:
 
 def resolve_direct(values: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
     """(keys, ord, _n): which candidate of each distinct value is the first to exist, if any."""
-    hits = direct_candidates(values, rule).join(manifest.select("path"), "path", "left_semi")
+    # files are listed under their real paths; a candidate keeps the way it is spelled
+    candidates = direct_candidates(values, rule).withColumn("path", P.collapse(F.col("path")))
+    hits = candidates.join(manifest.select("path"), "path", "left_semi")
     return hits.groupBy(*rule.keys).agg(F.min("_ord").alias("_ord"), F.max("_n").alias("_n"))
 
 
@@ -137,13 +140,16 @@ def _searched(manifest: DataFrame, rule: PathRule, values: DataFrame) -> DataFra
             F.sequence(F.lit(1), F.size(parts)),
             lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"),
         )
-        wanted = values.select(F.explode(ROOTS).alias("root")).distinct()
-        placed = media.withColumn("root", F.explode(above)).join(wanted, "root", "left_semi")
+        wanted = values.select(F.explode(ROOTS).alias("root")).distinct().withColumn("real", P.collapse(F.col("root")))
+        placed = media.withColumn("real", F.explode(above)).join(wanted, "real")
     else:
-        known = F.array(*[F.lit(r) for r in (rule.roots or (rule.dataset_root,))])
-        under = F.filter(F.array_distinct(known), lambda r: P.is_under(F.col("path"), r))
-        placed = media.withColumn("root", F.explode(under))
-    return placed.withColumn("rel", F.lower(P.relative_to(F.col("path"), F.col("root"))))
+        known = F.array(*[F.struct(F.lit(r).alias("root"), F.lit(P.real(r)).alias("real")) for r in dict.fromkeys(rule.roots or (rule.dataset_root,))])
+        under = F.filter(known, lambda r: P.is_under(F.col("path"), r["real"]))
+        placed = media.withColumn("_under", F.explode(under)).select("*", "_under.root", "_under.real").drop("_under")
+    rel = P.relative_to(F.col("path"), F.col("real"))
+    # a root that is spelled with '..' gives paths spelled the same way
+    spelled = F.when(F.col("root") == F.col("real"), F.col("path")).otherwise(P.join(F.col("root"), rel))
+    return placed.withColumns({"rel": fold(rel), "path": spelled}).drop("real")
 
 
 def _first_matches(pairs: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -205,10 +211,10 @@ def resolve_exact(
         return F.struct(F.lit(kind).alias("kind"), text.alias("key"))
 
     clean, longer = F.col(_CLEAN), F.col(_LONGER)
-    keyed = [key("name", P.basename(clean)), key("rel", F.lower(clean))]
+    keyed = [key("name", P.basename(clean)), key("rel", fold(clean))]
     keyed.append(key("stem", F.when(P.suffix(clean) == "", P.basename(clean))))
     if rule.extension:
-        keyed += [key("name", P.basename(longer)), key("rel", F.lower(longer))]
+        keyed += [key("name", P.basename(longer)), key("rel", fold(longer))]
     wanted = (
         _prepared(values, rule)
         .select(*rule.keys, "_n", ROOTS, F.explode_outer(ROOTS).alias("root"), F.array(*keyed).alias("_k"))
@@ -248,7 +254,7 @@ def resolve_contains(
     those lengths and their size; small value sets are broadcast, large ones are shuffled.
     A substring shared by very many paths keeps only its first few before the join.
     """
-    values = written(values.select(*rule.keys, "_n", ROOTS, F.lower(VALUE).alias("_needle")), "needles")
+    values = written(values.select(*rule.keys, "_n", ROOTS, fold(F.col(VALUE)).alias("_needle")), "needles")
     wanted = values.select(*rule.keys, "_n", ROOTS, "_needle", F.explode_outer(ROOTS).alias("root"))
     facts = wanted.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -257,7 +263,7 @@ def resolve_contains(
     ).first()
     if broadcast_values is None:
         broadcast_values = facts["rows"] <= BROADCAST_VALUES and facts["chars"] <= BROADCAST_CHARS
-    text = F.when(F.col("path") == F.col("root"), F.lower("name")).otherwise(F.col("rel"))
+    text = F.when(F.col("path") == F.col("root"), fold(F.col("name"))).otherwise(F.col("rel"))
     grams = _searched(manifest, rule, values).select(
         "root", "path", "depth", F.explode(_substrings(text, sorted(facts["lengths"]) or [1])).alias("_needle")
     )
@@ -300,13 +306,15 @@ def resolve_values(
     manifest: DataFrame,
     rule: PathRule,
     finish: Callable[[DataFrame], DataFrame] = lambda resolved: resolved,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``path``, ``status`` and ``matches`` for the value column ``_value`` of each row.
 
     ``finish`` may change the resolutions before they are joined to the rows; it sees every
-    distinct value once.
+    distinct value once. ``counts`` are the key counts of ``df``, where they are known from a
+    simpler plan of the same rows.
     """
-    counts = key_counts(df, rule.keys)
+    counts = key_counts(df, rule.keys) if counts is None else counts
     resolved = finish(resolutions(counts, manifest, rule))
     found = lookup(df, resolved, rule.keys, counts)
     value = F.col(VALUE)

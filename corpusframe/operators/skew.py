@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 HOT_ROWS = 1_000_000  # a key with more rows than this is spread over several tasks
-MAX_HOT_KEYS = 1_000  # bound of the broadcast list of such keys
-MAX_COPIES = 256
+# The list of such keys is broadcast, so it has a bound. The largest keys are listed: one that is not
+# has less than one in MAX_HOT_KEYS of all rows, which is no more than an even share of a large job.
+MAX_HOT_KEYS = 1_000
 _SALT, _COPIES = "_salt", "_copies"
 
 
@@ -26,13 +27,13 @@ def lookup(
     """Left join ``df`` to ``table``, which has at most one row per key ``on``.
 
     Keys with many rows get a salt, and their single table row is repeated once per salt
-    value, so no task receives all rows of a hot key. The list of hot keys is limited to the
-    largest MAX_HOT_KEYS before it is broadcast; a key beyond that list simply is not salted.
+    value, so no task receives all rows of a hot key: copies follow from the count, one for
+    each ``hot_rows`` rows, without a limit.
     A table that carries the row count of its keys as ``_n`` needs no join to the list.
     Rows with a null key match nothing and are spread too.
     """
     counts = key_counts(df, on) if counts is None else counts
-    copies = F.least(F.ceil(F.col("_n") / F.lit(hot_rows)), F.lit(MAX_COPIES)).cast("int").alias(_COPIES)
+    copies = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias(_COPIES)
     hot = counts.filter(F.col("_n") > hot_rows).orderBy(F.desc("_n"), *on).limit(MAX_HOT_KEYS)
     listed = hot.select(*on, copies)
     if "_n" in table.columns:
@@ -46,7 +47,7 @@ def lookup(
     spread = F.xxhash64(*df.columns) + F.spark_partition_id()
     salted = df.join(F.broadcast(listed), on, "left").withColumn(
         _SALT,
-        F.when(F.col(on[0]).isNull(), F.pmod(spread, F.lit(MAX_COPIES)))
+        F.when(F.col(on[0]).isNull(), F.pmod(spread, F.lit(1 << 30)))
         .otherwise(F.coalesce(F.pmod(spread, F.col(_COPIES)), F.lit(0)))
         .cast("int"),
     ).drop(_COPIES)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusframe.functions import paths as P
 from corpusframe.operators import locate, sidecars
 from corpusframe.operators.mapping import Corpus, map_columns
+from corpusframe.operators.templates import has_holes
 from corpusframe.sources import storage
 from corpusframe.sources.archives import with_inner_archives
 from corpusframe.sources.delimited import IndexFrame, read_index
@@ -52,10 +53,28 @@ def load(
 
     if spec.extract_files:
         listed[:] = [with_inner_archives(files(), spec, root)]
-    corpus = Corpus(root, root, files, on_error)
+    corpus = Corpus(root, root, files, on_error, outside_roots(spark, spec, root))
     return _LAYOUTS.get(spec.root_strategy or "index", index_layout)(spark, spec, corpus)
 
 
+def outside_roots(spark: SparkSession, spec: LoadSpec, root: str):
+    """A function that adds the files of declared media roots outside the corpus root to its manifest."""
+    fixed = [P.real(P.resolve_under(root, r)) for r in spec.media_roots if not has_holes(r)]
+    extra = sorted({r for r in fixed if r != root and not r.startswith(f"{root}/")})
+    if not extra:
+        return None
+    listed: list[DataFrame] = []
+
+    def add(manifest: DataFrame) -> DataFrame:
+        if not listed:
+            # a root below another one is listed with it
+            tops = [r for r in extra if not any(r.startswith(f"{o}/") for o in extra)]
+            listed.append(union_all([scan_manifest(spark, r) for r in tops]))
+        return manifest.unionByName(listed[0].join(manifest.select("path"), "path", "left_anti"), allowMissingColumns=True)
+
+    return add
+
+
 def check_spec(spec: LoadSpec) -> None:
     """Per task and layout, the fields a spec must have."""
     if spec.task not in TASKS and spec.root_strategy not in _LAYOUTS:
@@ -98,7 +117,7 @@ def index_layout(spark: SparkSession, spec: LoadSpec, corpus: Corpus) -> DataFra
         path = locate.locate_index(corpus.manifest, spec.index_file)
     root = locate.dataset_root(path, spec.index_file)
     frame = read_index(spark, on_storage(corpus, path), spec, corpus.on_error)
-    return _mapped(frame, spec, Corpus(root, corpus.extract_root, corpus.files, corpus.on_error))
+    return _mapped(frame, spec, Corpus(root, corpus.extract_root, corpus.files, corpus.on_error, corpus.outside))
 
 
 def on_storage(corpus: Corpus, path: str) -> str:
@@ -111,7 +130,7 @@ def on_storage(corpus: Corpus, path: str) -> str:
     return target
 
 
-def _tagged(frame: IndexFrame, tag: str, value: str, as_cell: bool) -> IndexFrame:
+def tagged(frame: IndexFrame, tag: str, value: str, as_cell: bool) -> IndexFrame:
     """Add a constant ``_tag`` column, which replaces a source column called ``tag``.
 
     With ``as_cell`` it is an ordinary source column as well, for specs that map it.
@@ -132,7 +151,7 @@ def _tagged_frames(
     """One frame per distinct header: files with the same columns become one scan of rows."""
     by_header: dict[tuple, list[DataFrame]] = {}
     for value, path in files:
-        frame = _tagged(read_index(spark, path, spec, corpus.on_error), tag, value, as_cell)
+        frame = tagged(read_index(spark, path, spec, corpus.on_error), tag, value, as_cell)
         by_header.setdefault(tuple(frame.names), []).append(frame.rows)
     return [IndexFrame(union_all(rows), list(names)) for names, rows in by_header.items()]
 
