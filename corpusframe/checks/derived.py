@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusframe.operators.mapping import Corpus
 from corpusframe.sources.delimited import IndexFrame
-from corpusframe.sources.files import manifest_of
+from corpusframe.sources.files import manifest_of, scan_manifest, write_files
 from corpusframe.sources.scratch import fresh_folder
 from corpusframe.spec import LoadSpec
 
@@ -44,6 +44,28 @@ def manifest(df: DataFrame, path: Column, *carry: Column) -> DataFrame:
     return manifest_of(df.select(path.alias("path"), *carry), ROOT)
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf: str, label: str, files: DataFrame) -> tuple[str, DataFrame]:
+    """Write (path, content) rows as files and list them: their root, and its manifest.
+
+    The files of a label are written once a session, so a repeated run times the work on them only.
+    """
+    known = (spark.conf.get("spark.app.id"), sf, label)
+    if known not in _STORED:
+        root = fresh_folder(spark, label)
+        path = F.concat(F.lit(root), F.expr(f"substr(path, {len(ROOT) + 1})"))
+        write_files(files.select(path.alias("path"), F.coalesce("content", F.lit(b"")).alias("content")))
+        _STORED[known] = root
+    return _STORED[known], scan_manifest(spark, _STORED[known])
+
+
+def home(path: Column, root: str) -> Column:
+    """A path below ``root`` as one below the corpus root, for comparison with SQL."""
+    return F.when(F.startswith(path, F.lit(root)), F.concat(F.lit(ROOT), F.substring(path, F.lit(len(root) + 1), F.length(path)))).otherwise(path)
+
+
 def text_of(c: str) -> Column:
     return F.col(c).cast("string")
 

@@ -8,9 +8,11 @@ from corpusframe.checks import derived as D
 from corpusframe.checks.registry import check
 from corpusframe.functions import casts as C, paths as P, sizes as S, text as X
 from corpusframe.operators.mapping import map_columns
-from corpusframe.operators.quality import LICENSES, TASKS, VISIBILITIES
+from corpusframe.operators.quality import predefined_license, validate_submissions
 from corpusframe.operators.resolve import PathRule, direct_candidates, resolve_values
 from corpusframe.operators.splits import category_domain, load_profile, split_counts, write_splits
+from corpusframe.plans.layouts import tagged
+from corpusframe.sources.delimited import IndexFrame, tidy
 from corpusframe.sources.files import file_digests, has_extension, visible
 
 
@@ -88,6 +90,22 @@ def cast_int(spark: SparkSession, sf: str) -> DataFrame:
     return orders.select(F.col("o_orderkey").alias("key"), C.to_int(raw).cast("string").alias("number"))
 
 
+@check(
+    "cast_exact",
+    """SELECT o_orderkey AS key, CAST(CASE o_orderkey % 8 WHEN 2 THEN o_orderkey * 1000 WHEN 4 THEN 9223372036854775807 WHEN 7 THEN o_orderkey END AS VARCHAR) AS number,
+      CASE WHEN o_orderkey % 8 IN (0, 1, 3, 5) THEN 'key:not_whole' ELSE '' END AS problems FROM orders""",
+)
+def cast_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole numbers keep every digit; what an int can't hold is a problem, text is null."""
+    key, rest = D.text_of("o_orderkey"), F.pmod("o_orderkey", F.lit(8))
+    tails = {0: ".00000000001", 1: "e30", 2: "e3", 3: "e-11", 7: ".000"}
+    raw = F.coalesce(*[F.when(rest == k, F.concat(key, F.lit(t))) for k, t in tails.items()], F.when(rest == 4, "9223372036854775807.0").when(rest == 5, "99999999999999999999").when(rest == 6, "0x1p3"))
+    orders = D.table(spark, sf, "orders").select(key.alias("o_orderkey"), raw.alias("raw"))
+    columns = {"key": D.column("o_orderkey", "int"), "number": D.column("raw", "int")}
+    mapped = map_columns(D.frame(orders), D.spec(columns=columns), D.corpus(None, "quarantine"))
+    return mapped.select("key", F.col("number").cast("string").alias("number"), F.replace(F.array_join("_problems", ","), F.lit("number"), F.lit("key")).alias("problems"))
+
+
 @check(
     "cast_float",
     "SELECT o_orderkey AS key, o_totalprice AS price, CASE o_orderpriority WHEN '1-URGENT' THEN 'none' "
@@ -122,10 +140,11 @@ def literal_columns(spark: SparkSession, sf: str) -> DataFrame:
         .join(D.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(D.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    return regions.select(
-        F.col("r_name").alias("name"), F.lit("train").alias("split"), F.lit("all").alias("section"),
-        F.col("c_custkey").alias("key"),
-    )
+    # a column of the same name gives way to the constant
+    rows = regions.select(F.col("r_name").alias("name"), F.lit("source").alias("split"), F.col("c_custkey").alias("key"))
+    split = tagged(D.frame(rows), "split", "train", as_cell=True)
+    both = tagged(IndexFrame(split.rows.drop("_tag"), split.names), "section", "all", as_cell=True)
+    return both.named().withColumn("key", F.col("key").cast("long"))
 
 
 @check(
@@ -318,16 +337,15 @@ def match_cardinality(spark: SparkSession, sf: str) -> DataFrame:
 def file_content(spark: SparkSession, sf: str) -> DataFrame:
     docs = D.table(spark, sf, "documents")
     padded = F.concat(F.lit("\t "), "text", F.lit(" \n"))
-    files = D.manifest(
-        docs, D.placed("texts/", D.text_of("doc_id"), ".txt"), F.encode(padded, "UTF-8").alias("content")
-    )
+    path = D.placed("texts/", D.text_of("doc_id"), ".txt").alias("path")
+    root, files = D.stored(spark, sf, "content", docs.select(path, F.encode(padded, "UTF-8").alias("content")))
     columns = {
         "doc_id": D.column("doc_id", "int"),
         "quality": D.column("quality", "int"),
         "text": D.column("doc_id", "file_content", file_extension="txt"),
     }
     spec = D.spec(columns=columns, base_audio_path="texts")
-    out = map_columns(D.frame(D.table(spark, sf, "labels")), spec, D.corpus(files))
+    out = map_columns(D.frame(D.table(spark, sf, "labels")), spec, D.corpus(files, root=root))
     return out.withColumn("quality", F.col("quality").cast("int"))
 
 
@@ -373,7 +391,41 @@ def unicode_strip(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", X.strip(padded).alias("stripped"))
 
 
-@check("casefold", "SELECT doc_id, lower(text) AS folded FROM documents")
+@check(
+    "parent_roots",
+    """WITH o AS (SELECT o_orderkey AS key, o_orderkey || '.wav' AS name, o_orderpriority IN ('1-URGENT', '2-HIGH') AS there FROM orders)
+    SELECT 'direct' AS strategy, key, '/corpus/none/../wavs/../wavs/' || name AS path, CASE WHEN there THEN 'ok' ELSE 'unverified' END AS status FROM o
+    UNION ALL SELECT 'exact', key, CASE WHEN there THEN '/corpus/none/../wavs/' || name END, CASE WHEN there THEN 'ok' ELSE 'missing' END FROM o""",
+)
+def parent_roots(spark: SparkSession, sf: str) -> DataFrame:
+    """Roots and values with '..' find their files and keep their spelling."""
+    orders, files = D.table(spark, sf, "orders"), D.media_manifest(spark, sf)
+    found = []
+    for strategy, above in (("direct", "../wavs/"), ("exact", "elsewhere/")):
+        rule = PathRule(D.ROOT, D.ROOT, (f"{D.ROOT}/none/../wavs",), strategy, "wav")
+        value = F.concat(F.lit(above), D.text_of("o_orderkey"), F.lit(".wav"))
+        rows = resolve_values(orders.select(F.col("o_orderkey").alias("key"), value.alias("_value")), files, rule)
+        found.append(rows.select(F.lit(strategy).alias("strategy"), "key", "path", "status"))
+    return found[0].union(found[1])
+
+
+@check(
+    "four_path_columns",
+    """WITH m AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN '/corpus/clips/' || o_orderkey || '.wav'
+      WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN '/corpus/wavs/' || o_orderkey || '.wav'
+      ELSE '/corpus/clips/' || o_orderkey END AS p FROM orders)
+    SELECT l_orderkey AS key, l_linenumber AS line, m.p AS a, m.p AS b, m.p AS c, m.p AS d FROM lineitem JOIN m ON l_orderkey = o_orderkey""",
+)
+def four_path_columns(spark: SparkSession, sf: str) -> DataFrame:
+    items = D.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    path = {"file_extension": ".wav"}
+    columns = {"key": D.column("l_orderkey", "int"), "line": D.column("l_linenumber", "int")}
+    columns |= {name: D.column("l_orderkey", "file_path", **path) for name in "abcd"}
+    spec = D.spec(columns=columns, base_audio_path=["clips/", "wavs/"])
+    return map_columns(D.frame(items), spec, D.corpus(D.media_manifest(spark, sf)))
+
+
+@check("casefold", "SELECT doc_id, replace(lower(text), 'ß', 'ss') AS folded FROM documents")
 def casefold(spark: SparkSession, sf: str) -> DataFrame:
     return D.table(spark, sf, "documents").select("doc_id", X.fold(F.col("text")).alias("folded"))
 
@@ -462,11 +514,11 @@ def remaining_percentage(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT c_custkey AS key, CASE WHEN c_nationkey <> 1 THEN c_name END AS name, c_nationkey = 1 AS rejected FROM customer",
 )
 def trim_reject_empty(spark: SparkSession, sf: str) -> DataFrame:
-    raw = F.when(F.col("c_nationkey") == 1, " \t ").otherwise(F.concat(F.lit(" "), "c_name", F.lit("\n")))
-    trimmed = X.strip(raw)
-    return D.table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("key"), F.when(trimmed != "", trimmed).alias("name"), (trimmed == "").alias("rejected")
-    )
+    raw = F.when(F.col("c_nationkey") == 1, " \t ").otherwise(F.concat(F.lit(" "), "c_name", F.lit("\n")))
+    rows = D.table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), raw.alias("name"))
+    rejected = F.array_contains("violations", "name:empty")
+    found = validate_submissions(rows, ("key",))
+    return found.select("key", F.when(~rejected, F.col("name")).alias("name"), rejected.alias("rejected"))
 
 
 @check(
@@ -479,16 +531,19 @@ def enum_membership(spark: SparkSession, sf: str) -> DataFrame:
     task = F.when(kind == 0, "ASR").when(kind == 1, "N/A").otherwise("asr")
     license_ = F.when(kind == 0, "CC-BY-4.0").when(kind == 1, "cc-by-4.0").otherwise("Custom")
     visibility = F.when(kind == 1, "restricted").otherwise("internal")
-    return D.table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("key"), task.isin(*TASKS).alias("task_ok"),
-        license_.isin(*LICENSES).alias("license_ok"), visibility.isin(*VISIBILITIES).alias("visibility_ok"),
+    rows = D.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("key"), task.alias("task"), license_.alias("licenseAbbreviation"), visibility.alias("visibility")
     )
+    found = validate_submissions(rows, ("key",))
+    listed = lambda name: ~F.array_contains("violations", f"{name}:not_listed")
+    return found.select("key", listed("task").alias("task_ok"), predefined_license(found).alias("license_ok"), listed("visibility").alias("visibility_ok"))
 
 
 @check("file_sha256", "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes_read, sha256(text) AS sha256 FROM documents")
 def file_sha256(spark: SparkSession, sf: str) -> DataFrame:
     docs = D.table(spark, sf, "documents")
-    files = D.manifest(docs, D.placed(D.text_of("doc_id"), ".txt"), F.encode("text", "UTF-8").alias("content"))
+    path = D.placed(D.text_of("doc_id"), ".txt").alias("path")
+    _, files = D.stored(spark, sf, "digests", docs.select(path, F.encode("text", "UTF-8").alias("content")))
     doc_id = P.stem(F.col("path")).cast("long").alias("doc_id")
     return file_digests(files).select(doc_id, "bytes_read", "sha256")
 
@@ -499,6 +554,11 @@ def file_sha256(spark: SparkSession, sf: str) -> DataFrame:
     "FROM documents LEFT JOIN labels USING (doc_id)",
 )
 def null_coalesce(spark: SparkSession, sf: str) -> DataFrame:
+    """Missing cells of an index, empty or a missing token, are null after the scan."""
     docs = D.table(spark, sf, "documents").join(D.table(spark, sf, "labels"), "doc_id", "left")
-    cell = D.text_of("quality")
-    return docs.select("doc_id", F.coalesce(cell, F.lit("")).alias("cell"), cell.isNull().alias("absent"))
+    cell = F.coalesce(D.text_of("quality"), F.when(F.col("doc_id") % 2 == 0, "NA").otherwise(""))
+    raw = docs.select(F.col("doc_id").cast("string").alias("_c0"), cell.alias("_c1"), F.lit(None).cast("string").alias("_extra"))
+    columns = {"doc_id": D.column("doc_id", "int"), "quality": D.column("quality")}
+    frame = IndexFrame(tidy(raw, 2, "null"), ["doc_id", "quality"])
+    mapped = map_columns(frame, D.spec(columns=columns), D.corpus(None))
+    return mapped.select("doc_id", F.coalesce("quality", F.lit("")).alias("cell"), F.col("quality").isNull().alias("absent"))

@@ -141,19 +141,20 @@ def glob_filter(spark: SparkSession, sf: str) -> DataFrame:
     "lang AS split FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
 )
 def paired_text(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = sidecars.paired_files(text_and_media(spark, sf), "**/*.txt", "webm")
-    return sidecars.pair_text(pairs, "utf-8")
+    root, files = text_and_media(spark, sf)
+    pairs = sidecars.pair_text(sidecars.paired_files(files, "**/*.txt", "webm"), "utf-8")
+    return pairs.withColumn("audio_path", D.home(F.col("audio_path"), root))
 
 
-def text_and_media(spark: SparkSession, sf: str) -> DataFrame:
-    """Padded text of every document, media for the labelled ones; bytes held inline."""
+def text_and_media(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """Root and manifest of files: padded text of every document, media for the labelled ones."""
     docs = D.table(spark, sf, "documents")
     labelled = docs.join(D.table(spark, sf, "labels"), "doc_id", "left_semi")
     base = D.placed(F.col("lang"), "/", D.text_of("doc_id"))
     padded = F.concat(F.lit("  "), "text", F.lit("\t\r\n"))
     texts = docs.select(F.concat(base, F.lit(".txt")).alias("path"), F.encode(padded, "UTF-8").alias("content"))
     media = labelled.select(F.concat(base, F.lit(".webm")).alias("path"), F.lit(None).cast("binary").alias("content"))
-    return manifest_of(texts.union(media), D.ROOT)
+    return D.stored(spark, sf, "pairs", texts.union(media))
 
 
 @check(
@@ -162,7 +163,8 @@ def text_and_media(spark: SparkSession, sf: str) -> DataFrame:
     "WHERE doc_id IN (SELECT doc_id FROM labels)",
 )
 def pair_exists(spark: SparkSession, sf: str) -> DataFrame:
-    return sidecars.paired_files(text_and_media(spark, sf), "**/*.txt", ".webm").select("path")
+    root, files = text_and_media(spark, sf)
+    return sidecars.paired_files(files, "**/*.txt", ".webm").select(D.home(F.col("path"), root).alias("path"))
 
 
 JSON_COLUMNS = {
@@ -176,9 +178,9 @@ JSON_COLUMNS = {
 
 
 def sidecar_records(spark: SparkSession, sf: str, record_path: str | None = "segments") -> DataFrame:
-    files = manifest_of(D.sidecar_files(spark, sf), D.ROOT)
+    root, files = D.stored(spark, sf, "sidecars", D.sidecar_files(spark, sf))
     documents = sidecars.json_documents(files, "**/*.json", "utf-8")
-    return sidecars.explode_records(documents, record_path)
+    return sidecars.explode_records(documents, record_path).withColumn("path", D.home(F.col("path"), root))
 
 
 @check(
@@ -194,10 +196,10 @@ def paired_json(spark: SparkSession, sf: str) -> DataFrame:
     turns = D.table(spark, sf, "conversations")
     name = F.concat(D.text_of("conv_id"), F.lit("_"), D.text_of("turn"), F.lit(".webm"))
     media = turns.select(D.placed("media/", name).alias("path"), F.lit(None).cast("binary").alias("content"))
-    files = manifest_of(D.sidecar_files(spark, sf).union(media), D.ROOT)
+    root, _ = D.stored(spark, sf, "records", D.sidecar_files(spark, sf).union(media))
     spec = D.spec(task="ASR", format="json", root_strategy="paired_glob", file_pattern="json/*.json",
                   record_path="segments", base_audio_path="media", columns=columns)
-    return load(spark, spec, D.ROOT, files)
+    return load(spark, spec, root).withColumn("audio_path", D.home(F.col("audio_path"), root))
 
 
 @check(
@@ -402,7 +404,7 @@ def dedupe(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(
     "allow_list_filter",
-    f"WITH {D.TREE_SQL} SELECT '/corpus/' || rel AS path FROM t WHERE lang IN ('en', 'de')",
+    f"WITH {D.TREE_SQL} SELECT split, '/corpus/' || rel AS path FROM t WHERE split = 'train' AND lang = 'en'",
 )
 def allow_list_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return D.document_tree(spark, sf).filter(F.col("parent").isin("en", "de")).select("path")
+    return split_glob(D.document_tree(spark, sf), "en/*.txt", ["train"]).select("split", F.col("audio_path").alias("path"))

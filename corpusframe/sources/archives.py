@@ -90,7 +90,8 @@ def _locate(archive: str) -> Iterator[tuple]:
 def _fetch(batch: pd.DataFrame) -> Iterator[tuple]:
     for archive, rows in batch.groupby("archive", sort=False):
         with storage.open_binary(archive) as raw:
-            packed = zipfile.ZipFile(raw) if archive.lower().endswith(".zip") else None
+            # by the bytes, as when it was listed: a name says nothing about what is inside
+            packed = zipfile.ZipFile(raw) if zipfile.is_zipfile(raw) else None
             members = packed.infolist() if packed else None
             for row in rows.sort_values("place").itertuples():
                 if packed:

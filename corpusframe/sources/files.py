@@ -14,8 +14,8 @@ from corpusframe.sources import storage
 from corpusframe.sources.scratch import fresh_folder
 
 LISTING = "path string, is_dir boolean, length long, modified double"
-# bytes held in the table itself: of every file, or of archive members only
-INLINE = ("content", "archived")
+# bytes of archive members, which no file system can open
+INLINE = ("archived",)
 _BATCH_ROWS = 4096
 _BATCH_BYTES = 32 << 20
 _CHUNK = 4 << 20
@@ -123,10 +123,8 @@ def _read_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_contents(files: DataFrame, *keep: str) -> DataFrame:
-    """(path, *keep, content) of exactly the listed files; inline content is used as it is."""
+    """(path, *keep, content) of exactly the listed files; archive members bring their bytes along."""
     wanted = files.select("path", *keep, *[c for c in INLINE if c in files.columns])
-    if "content" in files.columns:
-        return wanted.select("path", *keep, "content")
     schema = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema if f.name != "archived"
     )
@@ -150,12 +148,6 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def file_digests(files: DataFrame) -> DataFrame:
     """(path, bytes_read, sha256); files of any size are streamed in chunks."""
-    if "content" in files.columns:
-        return files.select(
-            "path",
-            F.octet_length("content").cast("long").alias("bytes_read"),
-            F.sha2("content", 256).alias("sha256"),
-        )
     spread = files.select("path").repartition(io_tasks(files.sparkSession), "path")
     return spread.mapInPandas(_digest, "path string, bytes_read long, sha256 string")
 

@@ -14,6 +14,8 @@ from collections.abc import Iterator
 from typing import Any, BinaryIO
 
 _URI = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*:/")
+# Schemes that Spark's connectors use, and what Arrow calls the same store.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
 
 
 def _remote(path: str) -> tuple[Any, str] | None:
@@ -21,7 +23,8 @@ def _remote(path: str) -> tuple[Any, str] | None:
         return None
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path)
+    scheme, rest = path.split(":", 1)
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme.lower(), scheme)}:{rest}")
 
 
 def open_binary(path: str) -> BinaryIO:
