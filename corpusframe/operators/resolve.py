@@ -130,7 +130,11 @@ def resolve_direct(values: DataFrame, manifest: DataFrame, rule: PathRule) -> Da
 
 
 def _searched(manifest: DataFrame, rule: PathRule, values: DataFrame) -> DataFrame:
-    """(root, rel, path, name, stem, depth) of media files, once per search root above them."""
+    """(root, rel, path, name, stem, depth, _first) of media files, once per search root above them.
+
+    ``_first`` numbers the first root above a file. First matches are kept for each number, so files
+    that an earlier root lists too leave no gap among the first ones of a later root.
+    """
     media = manifest.filter(visible() & has_extension(rule.extension)).select(
         "path", "name", "stem", "depth"
     )
@@ -141,11 +145,13 @@ def _searched(manifest: DataFrame, rule: PathRule, values: DataFrame) -> DataFra
             lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"),
         )
         wanted = values.select(F.explode(ROOTS).alias("root")).distinct().withColumn("real", P.collapse(F.col("root")))
-        placed = media.withColumn("real", F.explode(above)).join(wanted, "real")
+        placed = media.withColumn("real", F.explode(above)).join(wanted, "real").withColumn("_first", F.lit(1).cast("bigint"))
     else:
         known = F.array(*[F.struct(F.lit(r).alias("root"), F.lit(P.real(r)).alias("real")) for r in dict.fromkeys(rule.roots or (rule.dataset_root,))])
         under = F.filter(known, lambda r: P.is_under(F.col("path"), r["real"]))
-        placed = media.withColumn("_under", F.explode(under)).select("*", "_under.root", "_under.real").drop("_under")
+        first = F.array_position(F.transform(known, lambda r: P.is_under(F.col("path"), r["real"])), True)
+        staged = media.select("*", first.alias("_first"), F.explode(under).alias("_under"))
+        placed = staged.select("*", "_under.root", "_under.real").drop("_under")
     rel = P.relative_to(F.col("path"), F.col("real"))
     # a root that is spelled with '..' gives paths spelled the same way
     spelled = F.when(F.col("root") == F.col("real"), F.col("path")).otherwise(P.join(F.col("root"), rel))
@@ -192,6 +198,7 @@ def resolve_exact(
         "root",
         "path",
         "depth",
+        "_first",
         F.explode_outer(
             F.array(
                 F.struct(F.lit("name").alias("kind"), F.col("name").alias("key")),
@@ -199,10 +206,10 @@ def resolve_exact(
                 F.struct(F.lit("rel").alias("kind"), F.col("rel").alias("key")),
             )
         ).alias("k"),
-    ).select("root", "path", "depth", "k.kind", "k.key")
+    ).select("root", "path", "depth", "_first", "k.kind", "k.key")
     on = ["root", "kind", "key"]
     by_key = (
-        _first_matches(files, on, ["depth", "path"])
+        _first_matches(files, [*on, "_first"], ["depth", "path"])
         .groupBy(*on)
         .agg(F.collect_list(F.struct("depth", "path")).alias("found"))
     )
@@ -265,15 +272,15 @@ def resolve_contains(
         broadcast_values = facts["rows"] <= BROADCAST_VALUES and facts["chars"] <= BROADCAST_CHARS
     text = F.when(F.col("path") == F.col("root"), fold(F.col("name"))).otherwise(F.col("rel"))
     grams = _searched(manifest, rule, values).select(
-        "root", "path", "depth", F.explode(_substrings(text, sorted(facts["lengths"]) or [1])).alias("_needle")
+        "root", "path", "depth", "_first", F.explode(_substrings(text, sorted(facts["lengths"]) or [1])).alias("_needle")
     )
     on = ["root", "_needle"]
     if broadcast_values:
         needles = wanted.select(*on).distinct()
-        first = _first_matches(grams.join(F.broadcast(needles), on, "left_semi"), on, ["depth", "path"])
+        first = _first_matches(grams.join(F.broadcast(needles), on, "left_semi"), [*on, "_first"], ["depth", "path"])
         matches = wanted.join(first, on)
     else:
-        first = _first_matches(grams, on, ["depth", "path"])
+        first = _first_matches(grams.join(wanted.select(*on).distinct(), on, "left_semi"), [*on, "_first"], ["depth", "path"])
         matches = wanted.join(first, on)
     return _with_status(matches, rule)
 
