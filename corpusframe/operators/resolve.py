@@ -17,13 +17,11 @@ from corpusframe.functions import paths as P
 from corpusframe.functions.text import fold
 from corpusframe.operators.skew import HOT_ROWS, key_counts, lookup
 from corpusframe.sources.files import has_extension, visible
-from corpusframe.sources.scratch import written
 
 # The arrays exploded here are never empty. The outer form is used all the same: for the plain
 # form Spark adds a size filter and pushes the whole array expression down to the scan.
 LISTED = 5
-BROADCAST_VALUES = 200_000
-BROADCAST_CHARS = 16 << 20
+ANCHOR_SIZES = (8, 4, 2, 1)
 
 VALUE, ROOTS = "_value", "_roots"
 _CLEAN, _BASES, _LONGER, _ABSOLUTE = "_clean", "_bases", "_longer", "_absolute"
@@ -237,52 +235,42 @@ def resolve_exact(
     return _with_status(matches, rule)
 
 
-def _substrings(text: Column, lengths: list[int]) -> Column:
-    """Distinct substrings of the given lengths."""
-    whole = F.length(text)
-    fitting = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= whole)
+def _grams(text: Column, size: int) -> Column:
+    """Distinct substrings of one length; none if the text is shorter."""
+    last = F.length(text) - size + 1
+    each = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: text.substr(i, F.lit(size)))
+    return F.when(last >= 1, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
 
-    def of_length(n: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), whole - n + 1), lambda i: text.substr(i, n))
 
-    return F.array_distinct(F.flatten(F.transform(fitting, of_length)))
-
-
-def resolve_contains(
-    values: DataFrame,
-    manifest: DataFrame,
-    rule: PathRule,
-    broadcast_values: bool | None = None,
-) -> DataFrame:
+def resolve_contains(values: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
     """Match a value that occurs anywhere in a path below a root, case-insensitively.
 
-    The substring test becomes an equi-join: paths are cut into substrings of exactly the
-    lengths that occur among the values. The distinct values are written out once to learn
-    those lengths and their size; small value sets are broadcast, large ones are shuffled.
-    A substring shared by very many paths keeps only its first few before the join.
+    The substring test is an equi-join on an anchor: the value's substring, of the largest anchor size
+    that fits, which the fewest paths have. Paths give their substrings of those few sizes only, as far
+    as some value has them, and a joined pair is checked with ``contains``.
     """
-    values = written(values.select(*rule.keys, "_n", ROOTS, fold(F.col(VALUE)).alias("_needle")), "needles")
-    wanted = values.select(*rule.keys, "_n", ROOTS, "_needle", F.explode_outer(ROOTS).alias("root"))
-    facts = wanted.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.length("_needle") + F.length("root")), F.lit(0)).alias("chars"),
-        F.collect_set(F.length("_needle")).alias("lengths"),
-    ).first()
-    if broadcast_values is None:
-        broadcast_values = facts["rows"] <= BROADCAST_VALUES and facts["chars"] <= BROADCAST_CHARS
+    needle = F.col("_needle")
+    wanted = values.select(*rule.keys, "_n", ROOTS, fold(F.col(VALUE)).alias("_needle"), F.explode_outer(ROOTS).alias("root"))
+    needles = wanted.filter(F.length(needle) > 0).select("root", "_needle").distinct()
+    sized = F.coalesce(*[F.when(F.length(needle) >= n, _grams(needle, n)) for n in ANCHOR_SIZES])
+    asked = needles.select("root", "_needle", F.explode(sized).alias("gram"))
     text = F.when(F.col("path") == F.col("root"), fold(F.col("name"))).otherwise(F.col("rel"))
-    grams = _searched(manifest, rule, values).select(
-        "root", "path", "depth", "_first", F.explode(_substrings(text, sorted(facts["lengths"]) or [1])).alias("_needle")
+    searched = _searched(manifest, rule, values).select("root", "path", "depth", "_first", text.alias("_text"))
+    cut = searched.select("*", F.explode(F.concat(*[_grams(F.col("_text"), n) for n in ANCHOR_SIZES])).alias("gram"))
+    cut = cut.join(asked.select("root", "gram").distinct(), ["root", "gram"], "left_semi")
+    counted = cut.groupBy("root", "gram").agg(F.count(F.lit(1)).alias("_paths"))
+    ranked = asked.join(counted, ["root", "gram"], "left").groupBy("root", "_needle").agg(
+        F.min_by("gram", F.struct("_paths", "gram")).alias("gram"), F.count_if(F.col("_paths").isNull()).alias("_absent")
     )
+    anchors = ranked.filter("_absent = 0").select("root", "_needle", "gram")
+    pairs = cut.join(anchors, ["root", "gram"]).filter(F.contains("_text", needle))
     on = ["root", "_needle"]
-    if broadcast_values:
-        needles = wanted.select(*on).distinct()
-        first = _first_matches(grams.join(F.broadcast(needles), on, "left_semi"), [*on, "_first"], ["depth", "path"])
-        matches = wanted.join(first, on)
-    else:
-        first = _first_matches(grams.join(wanted.select(*on).distinct(), on, "left_semi"), [*on, "_first"], ["depth", "path"])
-        matches = wanted.join(first, on)
-    return _with_status(matches, rule)
+    first = _first_matches(pairs.select(*on, "path", "depth", "_first"), [*on, "_first"], ["depth", "path"])
+    few = first.groupBy(*on).agg(F.collect_list(F.struct("depth", "path")).alias("found"))
+    # one needle can stand under many per-row roots, so this lookup is guarded against hot keys
+    found = lookup(wanted.withColumnRenamed("_n", "_rows"), few, on).filter(F.col("found").isNotNull())
+    matches = found.select(*rule.keys, F.col("_rows").alias("_n"), ROOTS, F.explode_outer("found").alias("f"))
+    return _with_status(matches.select(*rule.keys, "_n", ROOTS, "f.depth", "f.path"), rule)
 
 
 def resolutions(counts: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
