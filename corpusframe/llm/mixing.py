@@ -42,7 +42,8 @@ def numbered(sources: DataFrame) -> DataFrame:
     ordered = sources.repartitionByRange(F.col("source").isNull(), "source").sortWithinPartitions(F.col("source").isNull(), "source")
     ordered = written(ordered.withColumn("part", F.spark_partition_id()), "sources")
     counts = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.alias("a").join(counts.alias("b"), F.col("b.part") < F.col("a.part"), "left").groupBy("a.part").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition of the sort
+    before = counts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     inner = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").isNull(), "source"))
     return ordered.withColumn("inner", inner).join(before, "part").withColumn("place", F.col("before") + F.col("inner") - 1).drop("part", "inner", "before")
 
