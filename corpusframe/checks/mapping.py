@@ -360,13 +360,19 @@ def split_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(
     "load_profile",
-    "SELECT lang AS split, count(*) AS n_rows, count(*) FILTER (quality IS NULL) AS quality_nulls "
-    "FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang",
+    """WITH o AS (SELECT o_orderpriority AS split, CASE WHEN o_orderkey % 7 = 0 THEN 'null' WHEN o_orderstatus = 'F'
+      OR o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'ok' ELSE 'missing' END AS status FROM orders)
+    SELECT split, count(*) AS n_rows, 0 AS status_nulls, count(DISTINCT status) AS status_distinct,
+      count(*) FILTER (status = 'ok') AS n_ok, 0 AS n_unverified, count(*) FILTER (status = 'missing') AS n_missing,
+      0 AS n_ambiguous, count(*) FILTER (status = 'null') AS n_null FROM o GROUP BY split""",
 )
 def load_profile_query(spark: SparkSession, sf: str) -> DataFrame:
-    docs = D.table(spark, sf, "documents").select("doc_id", F.col("lang").alias("split"))
-    joined = docs.join(D.table(spark, sf, "labels"), "doc_id", "left")
-    return load_profile(joined, ["quality"]).drop("quality_distinct")
+    """Rows and lookup results of each split, after an exact search in two roots."""
+    value = F.when(F.col("o_orderkey") % 7 != 0, F.concat(D.text_of("o_orderkey"), F.lit(".wav")))
+    orders = D.table(spark, sf, "orders").select(F.col("o_orderpriority").alias("split"), value.alias("_value"))
+    rule = PathRule(D.ROOT, D.ROOT, (f"{D.ROOT}/clips", f"{D.ROOT}/wavs"), "exact", "wav")
+    found = resolve_values(orders, D.media_manifest(spark, sf), rule)
+    return load_profile(found, ["status"], status="status")
 
 
 @check("split_write", "SELECT doc_id, source, lang AS split FROM documents WHERE source <> 'src0'")

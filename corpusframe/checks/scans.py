@@ -9,6 +9,7 @@ from corpusframe.checks.registry import check
 from corpusframe.functions.text import decode
 from corpusframe.operators import locate, sidecars
 from corpusframe.operators.mapping import map_columns
+from corpusframe.operators.resolve import PathRule, direct_candidates
 from corpusframe.plans.layouts import glob_rows, json_frame, load, split_glob
 from corpusframe.sources import storage
 from corpusframe.sources.archives import archive_members
@@ -381,9 +382,8 @@ def archive_members_query(spark: SparkSession, sf: str) -> DataFrame:
     f"WITH {D.PAGES_SQL} SELECT rel AS rel_path, depth FROM mf ORDER BY depth, rel",
 )
 def file_order(spark: SparkSession, sf: str) -> DataFrame:
-    return D.page_manifest(spark, sf).select("rel_path", F.col("depth").cast("long").alias("depth")).orderBy(
-        "depth", "rel_path"
-    )
+    ordered = locate.in_order(D.page_manifest(spark, sf))
+    return ordered.select("rel_path", F.col("depth").cast("long").alias("depth"))
 
 
 @check(
@@ -396,10 +396,16 @@ def shallowest_per_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(
     "dedupe",
-    f"WITH {D.PAGES_SQL} SELECT DISTINCT '/corpus/' || rel AS path FROM pg",
+    """SELECT o_orderkey || '.wav' AS value, unnest([0, 1]) AS place,
+      unnest(['/corpus/clips/' || o_orderkey || '.wav', '/corpus/' || o_orderkey || '.wav']) AS path FROM orders""",
 )
 def dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    return D.page_manifest(spark, sf).select("path")
+    """Roots that are given twice, and the corpus root that is also the dataset's, give one candidate each."""
+    value = F.concat(D.text_of("o_orderkey"), F.lit(".wav")).alias("_value")
+    values = D.table(spark, sf, "orders").select(value)
+    rule = PathRule(D.ROOT, D.ROOT, (f"{D.ROOT}/clips", f"{D.ROOT}/clips"), "direct", "wav")
+    found = direct_candidates(rule.with_roots(values), rule)
+    return found.select(F.col("_value").alias("value"), F.col("_ord").alias("place"), "path")
 
 
 @check(

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusframe.functions import paths as P
-from corpusframe.sources.files import glob_regex, matches_glob
+from corpusframe.sources.files import glob_regex
 
 _GLOB_CHARS = re.compile(r"[*?\[]")
 
@@ -17,6 +17,11 @@ def shallowest(manifest: DataFrame, keys: list[str], value: str = "path") -> Dat
     return manifest.groupBy(*keys).agg(F.min_by(value, F.struct("depth", value)).alias(value))
 
 
+def in_order(manifest: DataFrame) -> DataFrame:
+    """Files as a report lists them: the fewest parts first, then by path."""
+    return manifest.orderBy("depth", "path")
+
+
 def index_paths(index_file: str) -> Column:
     """Relative paths a manifest row may be an index under, given the index name or glob.
 
@@ -86,7 +91,3 @@ def missing_folders(manifest: DataFrame, names: list[str]) -> DataFrame:
         F.substring_index("rel_path", "/", 1).alias("folder")
     ).distinct()
     return listed.join(present, "folder", "left_anti")
-
-
-def with_pattern(manifest: DataFrame, pattern: str) -> DataFrame:
-    return manifest.filter(matches_glob(pattern))

@@ -38,8 +38,6 @@ REQUIRED_FIELDS = (
     "name", "longDescription", "task", "locale", "format", "restrictions", "forbiddenUsage",
     "pointOfContactFullName", "pointOfContactEmail", "showContactInfo", "visibility",
 )
-DRAFT_FIELDS = ("name",)
-SUBMIT_FIELDS = ("agreeToSubmit",)
 UPDATE_FIELDS = (
     "name", "shortDescription", "longDescription", "locale", "task", "format",
     "licenseAbbreviation", "license", "licenseUrl", "other", "restrictions", "forbiddenUsage",

@@ -33,10 +33,17 @@ def category_domain(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).filter(F.col(column).isNotNull()).distinct()
 
 
-def load_profile(df: DataFrame, columns: list[str], by: str = SPLIT) -> DataFrame:
-    """Per split: rows, and for each column its nulls and approximate distinct count."""
+# how a lookup can end, see operators.resolve
+STATUSES = ("ok", "unverified", "missing", "ambiguous", "null")
+
+
+def load_profile(df: DataFrame, columns: list[str], by: str = SPLIT, status: str | None = None) -> DataFrame:
+    """Per split: rows, for each column its nulls and approximate distinct count, and the rows of
+    each lookup status if ``status`` names its column."""
     measures = [F.count(F.lit(1)).alias("n_rows")]
     for name in columns:
         measures.append(F.count_if(F.col(name).isNull()).alias(f"{name}_nulls"))
         measures.append(F.approx_count_distinct(name).alias(f"{name}_distinct"))
+    if status is not None:
+        measures += [F.count_if(F.col(status) == s).alias(f"n_{s}") for s in STATUSES]
     return df.groupBy(by).agg(*measures)
