@@ -32,6 +32,12 @@ MISSING_TOKENS = (
 WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: inside a lambda, an outer expression is computed again
+    for every element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def strip(text: Column) -> Column:
     """Trim every kind of Unicode white space from both ends."""
     return F.btrim(text, F.lit(WHITE_SPACE))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusframe.functions import paths as P
-from corpusframe.functions.text import fold
+from corpusframe.functions.text import bind, fold
 from corpusframe.operators.skew import HOT_ROWS, key_counts, lookup
 from corpusframe.sources.files import has_extension, visible
 
@@ -237,9 +237,12 @@ def resolve_exact(
 
 def _grams(text: Column, size: int) -> Column:
     """Distinct substrings of one length; none if the text is shorter."""
-    last = F.length(text) - size + 1
-    each = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: text.substr(i, F.lit(size)))
-    return F.when(last >= 1, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
+    def cut(whole: Column) -> Column:
+        last = F.length(whole) - size + 1
+        each = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: whole.substr(i, F.lit(size)))
+        return F.when(last >= 1, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
+
+    return bind(text, cut)
 
 
 def resolve_contains(values: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
