@@ -6,6 +6,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusframe.functions.text import bind
 from corpusframe.llm.registry import register, table
 from corpusframe.sources.scratch import written
 
@@ -44,14 +45,12 @@ def with_rule(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
 
 def _grams(text: Column, mark: str) -> Column:
     """Character n-grams of a text between two line feeds, each marked with where it comes from."""
-    chars = F.split(F.concat(F.lit("\n"), text, F.lit("\n")), "")
-
-    def of(n):
+    def of(chars, n):
         last = F.size(chars) - n
         each = lambda i: F.concat(F.lit(mark), *[F.get(chars, i + k) for k in range(n)])
         return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), each)).otherwise(F.array().cast("array<string>"))
 
-    return F.concat(*[of(n) for n in GRAMS])
+    return bind(F.split(F.concat(F.lit("\n"), text, F.lit("\n")), ""), lambda chars: F.concat(*[of(chars, n) for n in GRAMS]))
 
 
 def _hashed(pages: DataFrame) -> DataFrame:
