@@ -12,6 +12,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusframe.functions.text import bind
 from corpusframe.llm.registry import register, table
 from corpusframe.sources.scratch import written
 
@@ -54,9 +55,11 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
 
 
 def _grams(letters: Column, size: Column) -> Column:
-    chars = F.split(letters, "")
-    each = F.transform(F.sequence(F.lit(0), F.greatest(size - GRAM, F.lit(0))), lambda i: F.concat(*[F.get(chars, i + k) for k in range(GRAM)]))
-    return F.when(size >= GRAM, each).otherwise(F.array().cast("array<string>"))
+    def cut(chars):
+        each = F.transform(F.sequence(F.lit(0), F.greatest(size - GRAM, F.lit(0))), lambda i: F.concat(*[F.get(chars, i + k) for k in range(GRAM)]))
+        return F.when(size >= GRAM, each).otherwise(F.array().cast("array<string>"))
+
+    return bind(F.split(letters, ""), cut)
 
 
 def common_grams(docs: DataFrame, text: str = "text") -> DataFrame:
