@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from corpusframe.functions.text import bind
 from corpusframe.llm.registry import register, table
 from corpusframe.sources.scratch import written
 
@@ -96,12 +97,15 @@ def with_lines_removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     gone = _removed(named.select("_order", "_key", F.col(text).alias("text")), "text", min_lines)
     gone = gone.select(F.col("_order").alias("_ld_order"), F.col("_key").alias("_ld_key"), F.col("gone").alias("_ld_gone"))
     found = named.join(gone, [F.col("_order") == F.col("_ld_order"), F.col("_key") == F.col("_ld_key")], "left")
-    there, lines = F.col("_ld_gone").isNotNull(), F.col("_ld_lines")
-    found = found.withColumn("_ld_lines", F.when(there, _lines(text)))
-    every = F.sequence(F.lit(0), F.size(lines) - 1)
-    found = found.withColumn("_ld_full", F.when(there, F.filter(every, lambda i: ~F.get(lines, i).rlike(_BLANK))))
-    numbers = F.transform(F.col("_ld_gone"), lambda i: F.get(F.col("_ld_full"), i))
-    kept = F.array_join(F.transform(F.array_except(every, numbers), lambda i: F.get(lines, i)), "\n")
+    there = F.col("_ld_gone").isNotNull()
+
+    def keep(lines):
+        every = F.sequence(F.lit(0), F.size(lines) - 1)
+        full = F.filter(every, lambda i: ~F.get(lines, i).rlike(_BLANK))
+        numbers = bind(full, lambda places: F.transform(F.col("_ld_gone"), lambda i: F.get(places, i)))
+        return F.array_join(F.transform(F.array_except(every, numbers), lambda i: F.get(lines, i)), "\n")
+
+    kept = bind(_lines(text), keep)
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.length(F.col(text)) - F.length(F.translate(F.col(text), "\n", "")) + 1)
     return found.select(
         *[F.col(f"`{c}`") for c in docs.columns],
