@@ -20,7 +20,7 @@ from corpusframe.llm.tokens import NOT_SPACE, chunked, signed
 from corpusframe.sources.scratch import written
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 ROUNDS = 1
 PRIOR = 10_000.0  # pieces that the ranks count for, beside the training text
 END = "\n"  # keys of the end and of bytes begin with a line feed, so no text of a word equals one
@@ -45,50 +45,58 @@ class Lattice:
 
     def __init__(self, logs: dict[str, float]):
         self.logs = logs
-        self.longest = max((len(p) for p in logs if p[0] != "\n"), default=1)
+        #: Pieces and all their beginnings; a beginning that is no piece itself has no probability.
+        self.beginnings: dict[str, float | None] = {}
+        for piece, log in logs.items():
+            if piece[0] != "\n":
+                for size in range(1, len(piece)):
+                    self.beginnings.setdefault(piece[:size], None)
+                self.beginnings[piece] = log
         self.bytes = [logs[f"\n{b:02X}"] for b in range(256)]
 
-    def arcs(self, text: str):
-        """For each end the (start, log probability, piece) of what can stand before it."""
-        get, longest = self.logs.get, self.longest
-        for end in range(1, len(text) + 1):
-            found = []
-            for start in range(max(0, end - longest), end):
-                piece = text[start:end]
-                log = get(piece)
-                if log is not None:
-                    found.append((start, log, piece))
-            if not found or found[-1][0] != end - 1:
-                char = text[end - 1]
-                found.append((end - 1, sum(self.bytes[b] for b in char.encode()), char))
-            yield found
+    def forward(self, text: str) -> tuple[list[float], list[list[tuple[int, float]]]]:
+        """For each place the log probability of reaching it, and what reaches it: (start, log so far)."""
+        get, bytes_, size, exp = self.beginnings.get, self.bytes, len(text), math.exp
+        alpha, into = [0.0] * (size + 1), [[] for _ in range(size + 1)]
+        for start in range(size + 1):
+            if start:
+                terms = into[start]
+                if len(terms) == 1:
+                    alpha[start] = terms[0][1]
+                else:
+                    top = max([t[1] for t in terms])
+                    alpha[start] = top + math.log(sum([exp(t[1] - top) for t in terms]))
+            here, alone = alpha[start], False
+            for end in range(start + 1, size + 1):
+                log = get(text[start:end], 0.0)
+                if log is None:
+                    continue
+                if log == 0.0:  # no piece begins like this
+                    break
+                into[end].append((start, here + log))
+                alone = alone or end == start + 1
+            if not alone and start < size:
+                into[start + 1].append((start, here + sum([bytes_[b] for b in text[start].encode()])))
+        return alpha, into
 
     def log(self, word: str) -> float:
         """Natural logarithm of the word's probability over all segmentations."""
-        alpha = [0.0]
-        for found in self.arcs("▁" + word):
-            terms = [alpha[start] + log for start, log, _ in found]
-            top = max(terms)
-            alpha.append(top if len(terms) == 1 else top + math.log(sum([math.exp(t - top) for t in terms])))
-        return alpha[-1]
+        return self.forward("▁" + word)[0][-1]
 
     def expect(self, word: str, weight: float, counts: dict[str, float]) -> None:
         """Add ``weight`` times the expected number of each piece in a segmentation of the word."""
-        arcs, alpha = list(self.arcs("▁" + word)), [0.0]
-        for found in arcs:
-            terms = [alpha[start] + log for start, log, _ in found]
-            top = max(terms)
-            alpha.append(top if len(terms) == 1 else top + math.log(sum([math.exp(t - top) for t in terms])))
-        inside = [0.0] * len(alpha)  # probability that a segmentation has a cut here
+        text = "▁" + word
+        alpha, into = self.forward(text)
+        inside = [0.0] * len(alpha)  # weight of the segmentations that have a cut here
         inside[-1] = weight
-        for end in range(len(arcs), 0, -1):
-            mass = inside[end]
+        for end in range(len(text), 0, -1):
+            mass, reach = inside[end], alpha[end]
             if mass <= 0.0:
                 continue
-            reach = alpha[end]
-            for start, log, piece in arcs[end - 1]:
-                share = mass * math.exp(min(0.0, alpha[start] + log - reach))
+            for start, so_far in into[end]:
+                share = mass * math.exp(min(0.0, so_far - reach))
                 inside[start] += share
+                piece = text[start:end]
                 if piece in self.logs:
                     counts[piece] = counts.get(piece, 0.0) + share
                 else:
@@ -106,7 +114,7 @@ def _distinct(texts: pa.Array, train: np.ndarray):
         weight = train[low:high].astype(np.int64)[words.text_of()]
         counts.append(np.bincount(inverse, weight, minlength=len(own)).astype(np.int64))
         hashes.append(own)
-        parts.append((words, where))
+        parts.append((words.data, words.starts[where].tolist(), words.ends[where].tolist()))
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), []
     sizes = np.array([len(h) for h in hashes])
@@ -114,7 +122,7 @@ def _distinct(texts: pa.Array, train: np.ndarray):
     total = np.bincount(inverse, np.concatenate(counts), minlength=len(own)).astype(np.int64)
     chunk = np.searchsorted(np.cumsum(sizes), where, side="right")
     inner = where - (np.cumsum(sizes) - sizes)[chunk]
-    return own, total, [parts[c][0].word(parts[c][1][i]).decode() for c, i in zip(chunk.tolist(), inner.tolist())]
+    return own, total, [parts[c][0][parts[c][1][i] : parts[c][2][i]].tobytes().decode() for c, i in zip(chunk.tolist(), inner.tolist())]
 
 
 def _words_of(group: pa.Table) -> pa.Table:

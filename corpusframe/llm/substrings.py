@@ -28,9 +28,9 @@ BLOCK_BYTES = 6 << 20
 LAST = (1 << 63) - 1  # stands for a null id: later than every other
 
 
-def anchors(words: Words, window: int, phrase: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(words: Words, hashes: np.ndarray, window: int, phrase: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all phrases, the starts of whole windows, and the place of the phrase of each."""
-    grams = sequences(words.hashes(), phrase)
+    grams = sequences(hashes, phrase)
     reach = window - phrase + 1
     count = len(grams) - reach + 1
     if count <= 0:
@@ -57,7 +57,7 @@ def _phrase_rows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
         for batch in batches:
             blocks = batch.column(0).to_numpy()
             for low, high, words in chunked(batch.column(1), NOT_SPACE):
-                grams, _, place = anchors(words, window, phrase)
+                grams, _, place = anchors(words, words.hashes(), window, phrase)
                 place = np.unique(place)
                 if len(place):
                     at = blocks[low:high][np.searchsorted(words.first, place, side="right") - 1]
@@ -80,15 +80,14 @@ def _automaton(ids: np.ndarray, phrases: list[int], length: int):
     return found
 
 
-def _locate(words: Words, grams: np.ndarray, place: np.ndarray, recurring: np.ndarray, phrase: int) -> np.ndarray:
+def _locate(words: Words, hashes: np.ndarray, grams: np.ndarray, place: np.ndarray, recurring: np.ndarray, phrase: int) -> np.ndarray:
     """True at each word where a recurring phrase starts, found by the block's automaton."""
-    hashes = words.hashes()
-    _, ids = np.unique(hashes, return_inverse=True)
     own, where = np.unique(signed(grams[place]), return_index=True)
     listed = place[where[np.isin(own, recurring, assume_unique=True)]]
     starts = np.zeros(len(words) + 1, bool)
     if not len(listed):
         return starts
+    _, ids = np.unique(hashes, return_inverse=True)
     automaton = _automaton(ids, listed.tolist(), phrase)
     for t in range(len(words.first) - 1):
         low, high = words.first[t], words.first[t + 1]
@@ -111,8 +110,9 @@ def _mark(window: int, phrase: int):
         order, digest = docs["order"].to_numpy(), docs["digest"].to_numpy()
         ids, block, texts = docs["doc_id"].to_pylist(), docs["block"].to_pylist(), docs["text"].combine_chunks()
         for low, high, words in chunked(texts, NOT_SPACE):
-            grams, starts, place = anchors(words, window, phrase)
-            located = _locate(words, grams, place, recurring, phrase) if len(recurring) else np.zeros(len(words) + 1, bool)
+            hashes = words.hashes()
+            grams, starts, place = anchors(words, hashes, window, phrase)
+            located = _locate(words, hashes, grams, place, recurring, phrase) if len(recurring) else np.zeros(len(words) + 1, bool)
             repeated = starts[located[place]] if len(place) else starts
             bounds = np.searchsorted(repeated, words.first)
             for t in range(high - low):

@@ -49,6 +49,9 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of some consecutive texts. Word i is data[starts[i]:ends[i]]; text t has words first[t] to first[t + 1]."""
 
+    #: Powers of the factor and of its inverse, kept by a task for its next texts.
+    powers = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+
     def __init__(self, data: np.ndarray, bounds: np.ndarray, inside: np.ndarray, lower: bool):
         self.data = LOWER[data] if lower else data
         member = inside[self.data]
@@ -73,9 +76,14 @@ class Words:
         size = len(self.data)
         if not size:
             return np.zeros(0, np.uint64)
-        inverse = np.uint64(pow(int(FACTOR), -1, 1 << 64))
-        power = np.cumprod(np.full(size, FACTOR, np.uint64))
-        back = np.cumprod(np.full(size, inverse, np.uint64))
+        power, back = Words.powers
+        if len(power) < size:
+            inverse = np.uint64(pow(int(FACTOR), -1, 1 << 64))
+            length = max(size, CHUNK_BYTES + CHUNK_BYTES // 4)
+            power, back = (np.cumprod(np.full(length, x, np.uint64)) for x in (FACTOR, inverse))
+            if length <= 4 * CHUNK_BYTES:
+                Words.powers = (power, back)
+        power = power[:size]
         sums = np.zeros(size + 1, np.uint64)
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power, out=sums[1:])
         return mix((sums[self.ends] - sums[self.starts]) * back[self.starts])
