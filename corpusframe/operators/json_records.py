@@ -16,7 +16,8 @@ _STRING = rf'"{_INNER}"'
 
 def _sensitive_key() -> str:
     word = rf'(?iu:{"|".join(SENSITIVE)})'
-    return rf'"(?:(?!{word})(?:[^"\\]|\\.))*+{word}{_INNER}"\s*+:\s*+'
+    # an opening quote never follows a backslash; starting at escaped ones would reread long texts
+    return rf'(?<!\\)"(?:(?!{word})(?:[^"\\]|\\.))*+{word}{_INNER}"\s*+:\s*+'
 
 
 def _value(nesting: int) -> str:
