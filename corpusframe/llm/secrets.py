@@ -27,6 +27,11 @@ _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvw
 #: A named value: a name, then = or :, then the value.
 _NAMED = r"^([A-Za-z_.\-]{2,40})[=:](.+)$"
 _BODY = rf"^[A-Za-z0-9+/=_.@:\-]{{{SHORTEST},}}$"
+#: A run of the key alphabet inside a word, with the name that stands before it there, quoted or not.
+_PIECE = r"(?:([A-Za-z_][A-Za-z0-9_.\-]{0,39})[\x22'`\])]{0,4}[=:][\x22'`(\[]{0,4})?([A-Za-z0-9+/_.@\-][A-Za-z0-9+/=_.@:\-]*)"
+_SECRET = r"(?:passw(?:or)?d|passphrase|pwd|secret|token|api[_\-]?key|access[_\-]?key|private[_\-]?key|credential)"
+#: The two words before a value, when a secret-like name and = or : end them.
+_ANNOUNCED = rf"(?i){_SECRET}[A-Za-z0-9_.\-]*[\x22'`\])]* ?[=:]+>?[\x22'`(\[]*$"
 NUMBERS = ["length", "distinct_share", "change_share", "upper_share", "lower_share", "digit_share", "other_share", "known_share"]
 
 
@@ -54,6 +59,38 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
     return found.select("doc_id", "path", "place", F.when(F.col("value") == F.col("bare"), "").otherwise(F.col("name")).alias("name"), "value", before.alias("before"), F.translate(_stripped(before2), _UPPER, _LOWER).alias("before2"), beside(1).alias("after"))
 
 
+def proposed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
+    """The rows of ``candidates`` and, from words that are none as a whole, every maximal run of the key alphabet.
+
+    A run counts like a word: SHORTEST characters or more, with a digit or all in upper case. After a name
+    like those of secrets, in the word or at the end of the words before it, any run with a letter or digit
+    counts, however short. The column names are those of ``candidates``; a word may give several rows.
+    """
+    words = F.split(F.btrim(F.col(text), F.lit(" \t\n\r\x0b\x0c")), _SPACE)
+    beside = lambda own, i: F.coalesce(F.get(own, i), F.lit(""))
+    each = bind(words, lambda own: F.transform(own, lambda w, i: F.struct(i.alias("place"), w.alias("word"), beside(own, i - 1).alias("before"), beside(own, i - 2).alias("before2"), beside(own, i + 1).alias("after"))))
+    likely = lambda x: (F.length(x["word"]) >= SHORTEST) | x["word"].rlike("[=:]") | x["before"].rlike("[=:]")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(path).cast("string").alias("path"), F.explode(F.filter(each, likely)).alias("x")).select("doc_id", "path", "x.*")
+    rows = rows.withColumn("bare", _stripped(F.col("word"))).withColumn("_name", F.regexp_extract("bare", _NAMED, 1)).withColumn("_inner", _stripped(F.regexp_extract("bare", _NAMED, 2)))
+    rows = rows.withColumn("_value", F.when((F.col("_name") != "") & ~F.startswith("_inner", F.lit("//")), F.col("_inner")).otherwise(F.col("bare")))
+    keyed = lambda value: (F.length(value) >= SHORTEST) & (value.rlike("[0-9]") | value.rlike("^[A-Z]+$"))
+    whole = keyed(F.col("_value")) & F.col("_value").rlike(_BODY)
+    announced = F.concat_ws(" ", "before2", "before").rlike(_ANNOUNCED)
+
+    def piece(found, i):
+        name, value = F.regexp_extract(found, _PIECE, 1), F.regexp_extract(found, _PIECE, 2)
+        url = F.startswith(value, F.lit("//"))
+        name, value = F.when(url, "").otherwise(name), _stripped(F.when(url, found).otherwise(value))
+        told = name.rlike(f"(?i){_SECRET}") | ((i == 0) & (name == "") & announced)
+        return F.struct(name.alias("name"), value.alias("value"), (keyed(value) | (told & value.rlike("[A-Za-z0-9]"))).alias("kept"))
+
+    one = F.array(F.struct(F.when(F.col("_value") == F.col("bare"), "").otherwise(F.col("_name")).alias("name"), F.col("_value").alias("value"), F.lit(True).alias("kept")))
+    runs = F.filter(F.transform(F.regexp_extract_all("word", F.lit(_PIECE), F.lit(0)), piece), lambda x: x["kept"])
+    found = rows.withColumn("found", F.explode(F.when(whole, one).otherwise(runs)))
+    small = lambda c: F.translate(_stripped(F.col(c)), _UPPER, _LOWER).alias(c)
+    return found.select("doc_id", "path", "place", "found.name", "found.value", small("before"), small("before2"), small("after"))
+
+
 def _grams(letters: Column, size: Column) -> Column:
     def cut(chars):
         each = F.transform(F.sequence(F.lit(0), F.greatest(size - GRAM, F.lit(0))), lambda i: F.concat(*[F.get(chars, i + k) for k in range(GRAM)]))
@@ -138,7 +175,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
     empty texts have no candidates; a null path is an empty one; equal findings of repeated rows are told
     apart by nothing and score alike. An empty table gives no rows.
     """
-    found = written(featured(written(candidates(docs, doc_id, text, path), "candidates"), common_grams(docs, text)), "featured")
+    found = written(featured(written(proposed(docs, doc_id, text, path), "candidates"), common_grams(docs, text)), "featured")
     return judged(found, train(labels(found)))
 
 

@@ -57,3 +57,28 @@ def test_edges(spark):
     rows = secrets.scan(docs).collect()
     assert [(r.doc_id, r.place, r.value, r.secret) for r in rows] == [(1, 1, "abc123abc123abc1", True)] * 2
     assert secrets.scan(docs.limit(0)).count() == 0
+
+
+def test_runs_inside_words_and_named_values(spark):
+    """Keys beside #, in JSON and in urls, and short or digit-free values after a secret-like name, are all judged."""
+    texts = [
+        'a token = "ab8c11d2e3f4a5b6878e"### b', '{"api_key":"abc123def456ghi7"}', "see https://a.b/c?token=abc1230000xyz&x=k9k9k9k9k9k9k9 now",
+        "password=hunter2, password: correcthorsebattery", "the prose: has none of these", "pad Zm9vYmFyYmF6cXV4MTIz==### end",
+    ]
+    docs = documents(spark, texts)
+    got = {(r.doc_id, r.name, r.value) for r in secrets.proposed(docs).collect()}
+    want = {
+        (0, "", "ab8c11d2e3f4a5b6878e"), (1, "api_key", "abc123def456ghi7"), (2, "token", "abc1230000xyz"), (2, "x", "k9k9k9k9k9k9k9"),
+        (3, "password", "hunter2"), (3, "", "correcthorsebattery"), (5, "", "Zm9vYmFyYmF6cXV4MTIz=="),
+    }
+    assert got == want
+    assert {r.value for r in secrets.scan(docs).collect()} == {v for _, _, v in want}
+
+
+def test_planted_keys_are_all_judged(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    planted = {(r.doc_id, k) for r in docs.collect() for k in re.findall(r'token = "([0-9a-f]{16,})"', r.text or "")}
+    rows = secrets.proposed(docs)
+    assert len(planted) > 10 and planted <= {(r.doc_id, r.value) for r in rows.collect()}
+    columns = secrets.candidates(docs).columns
+    assert secrets.candidates(docs).exceptAll(rows.select(*columns)).count() == 0
