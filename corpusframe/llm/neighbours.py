@@ -21,6 +21,8 @@ WANTED = 9_000  # vectors that a query should meet; tables with fewer are search
 PER_CODE = 1_024  # vectors per bucket up to which one code more isn't used
 FEW_TABLES, MORE_TABLES = 8, 12  # with one code a bucket, and with several
 LEAST_PROBES, MORE_PROBES = 10, 384
+TARGET = 0.95  # least chance that a query meets its last wanted neighbour, if vectors are evenly spread
+PAIRS = 400  # simulated pairs of a query and that neighbour
 SLICE = 20_000  # rows of the index in one task
 PART = 4_096  # vectors of a bucket compared at once; a larger bucket is dealt out
 
@@ -36,6 +38,38 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x.reshape(n, width) / math.sqrt(width)
 
 
+def last_similarity(count: int, dimensions: int, nearest: int = NEAREST) -> float:
+    """The inner product of a unit vector with its ``nearest``-th neighbour among ``count`` evenly spread ones."""
+    grid = np.linspace(0, 1, 100_001)[:-1]
+    weight = (1 - grid**2) ** ((max(dimensions, 2) - 3) / 2)
+    above = weight[::-1].cumsum()[::-1] / (2 * weight.sum())
+    return float(grid[np.searchsorted(-above, -nearest / max(count, 2 * nearest))])
+
+
+def needed_probes(width: int, codes: int, tables: int, similarity: float) -> int:
+    """Probes of each table by which a neighbour of this similarity is met with chance TARGET.
+
+    Of simulated pairs, the place of the neighbour's bucket in the query's order of buckets is counted; the
+    tables are independent, so a share of the pairs has to be met in each.
+    """
+    rng = np.random.default_rng(23)
+    q, p = rng.normal(size=(2, PAIRS, codes, width))
+    q /= np.linalg.norm(q, axis=2, keepdims=True)
+    p -= (p * q).sum(2, keepdims=True) * q
+    p = similarity * q + math.sqrt(1 - similarity**2) * p / np.linalg.norm(p, axis=2, keepdims=True)
+    both = np.concatenate([q, -q], axis=2)
+    cost = (both.max(2, keepdims=True) - both) ** 2
+    own = np.take_along_axis(cost, np.concatenate([p, -p], axis=2).argmax(2)[:, :, None], 2)[:, :, 0].sum(1)
+    places = np.empty(PAIRS, np.int64)
+    for i in range(PAIRS):
+        sums = np.zeros(1)
+        for k in range(codes - 1):
+            sums = (sums[:, None] + cost[i, k]).ravel()
+        places[i] = np.searchsorted(np.sort(cost[i, -1]), own[i] - sums + 1e-12, side="right").sum()
+    share = 1 - (1 - TARGET) ** (1 / tables)
+    return int(np.sort(places)[min(PAIRS - 1, math.ceil(share * PAIRS))])
+
+
 class Tables:
     """Random signs of all tables, and how codes and probes are made from them."""
 
@@ -49,11 +83,15 @@ class Tables:
         axes, codes = 2 * width, 1
         while count > PER_CODE * axes**codes:
             codes += 1
-        tables = FEW_TABLES if codes == 1 else MORE_TABLES
         share = min(1.0, WANTED / max(1, count))
         if share == 1.0:
             return cls(width, 1, 1, axes)
-        probes = math.ceil(axes**codes * (1 - (1 - share) ** (1 / tables)))
+        similarity = last_similarity(count, dimensions)
+        # a code less makes larger buckets, which are dealt out, and every probe reaches further
+        while codes > 1 and needed_probes(width, codes, MORE_TABLES, similarity) > MORE_PROBES:
+            codes -= 1
+        tables = FEW_TABLES if codes == 1 else MORE_TABLES
+        probes = max(math.ceil(axes**codes * (1 - (1 - share) ** (1 / tables))), needed_probes(width, codes, tables, similarity))
         return cls(width, codes, tables, min(axes**codes, max(LEAST_PROBES if codes == 1 else MORE_PROBES, probes)))
 
     def turned(self, x: np.ndarray, t: int, c: int) -> np.ndarray:

@@ -78,3 +78,21 @@ def test_recall(spark, sf, plan):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     assert all(len(got[q]) == 20 for q in want)
     assert np.mean([len(got[q] & w) / 20 for q, w in want.items()]) >= 0.9
+
+
+@pytest.mark.parametrize("count,dimensions", [(51_282, 64), (2_000_000, 64), (17_000_000, 64), (117_000_000, 64), (2_000_000, 128), (17_000_000, 100), (2_500_000, 768)])
+def test_plans_meet_the_last_neighbour(count, dimensions):
+    """Pairs as similar as a query and its 20th of so many evenly spread vectors share a bucket that is probed."""
+    plan = Tables.of(count, dimensions)
+    grid = np.linspace(0, 1, 20_001)[:-1]
+    weight = (1 - grid**2) ** ((dimensions - 3) / 2)
+    similarity = grid[np.flatnonzero(weight[::-1].cumsum()[::-1] / (2 * weight.sum()) >= 20 / count)[-1]]
+    rng = np.random.default_rng(8)
+    q, p = rng.normal(size=(2, 150, dimensions))
+    q /= np.linalg.norm(q, axis=1, keepdims=True)
+    p -= (p * q).sum(1, keepdims=True) * q
+    p = similarity * q + np.sqrt(1 - similarity**2) * p / np.linalg.norm(p, axis=1, keepdims=True)
+    met = np.zeros(150, bool)
+    for t in range(plan.tables):
+        met |= (plan.probed(q, t) == plan.buckets(p, t)[:, None]).any(1)
+    assert met.mean() >= 0.9
