@@ -1,8 +1,8 @@
-"""Line dedup over a suffix array of line ids, built by distributed prefix doubling.
+"""Line dedup over ranks of line ids, by distributed prefix doubling up to the shortest run that counts.
 
 A document is its sequence of line ids. Suffixes are ranked by their first line, then by their first
-two, four, eight ... lines: the rank of a doubled prefix is the place of the pair of ranks of its
-halves in sorted order. A suffix whose prefix is met once is settled and leaves, so only repeated
+two, four ... lines until ``min_lines`` are reached (one step for two lines), not until all are settled: the
+rank of a doubled prefix is the place of the pair of ranks of its halves in sorted order. A suffix whose prefix is met once is settled and leaves, so only repeated
 lines are ever sorted. Suffixes of equal rank are an interval of the array with a common prefix of
 that length. Only DataFrame functions are used.
 """
@@ -66,7 +66,7 @@ def ranks_of(first: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
-    """Maximal repeated runs (doc_id, start, length): stretches of non-blank lines, numbered from 0, every
+    """Repeated stretches (doc_id, start, length), which may stand once as a whole: stretches of non-blank lines, numbered from 0, every
     ``min_lines`` of which in a row are an interval of the suffix array with at least two members."""
     ranks = ranks_of(first_ranks(_identified(docs, doc_id, text), text), min_lines)
     nth = F.row_number().over(Window.partitionBy("_order", "_key").orderBy("_at"))
