@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(ORACLES) <= set(QUERIES) <= names
 
 
