@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from functools import cache
 
 import numpy as np
@@ -30,7 +31,7 @@ END = 0  # id behind each document
 ROUNDS = 80  # of the fit, at most
 WORTH = 0.01  # pieces, weighed by length, that a pattern has to mend to join the fit
 SLICE = 1 << 20  # characters tokenized at once
-KEPT = 150_000  # words remembered by a Python worker, and as many of those met before
+KEPT = 300_000  # words (about 60 MB) remembered by a Python worker, and as many of those met before
 
 # The characters that the tokenizer's pattern takes as white space.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -39,54 +40,52 @@ _PARTS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _CUT = re.compile(f"(?<=[^{_SPACE}]) (?=[^{_SPACE}])")
 
 
-class Encoder:
-    """Token ids of texts as little-endian 32-bit numbers; words met lately are not tokenized again."""
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: Parts of visible ASCII characters and accented letters, and the runs that the pattern takes apart in them.
+_WORD = re.compile(f" ?[{_LETTERS}]+")
+_PLAIN = re.compile(f" ?[!-~{_LETTERS}]+")
+_RUNS = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^ {_LETTERS}0-9]+")
+_SHOWN = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
+#: The byte alphabet of the merges: printable bytes stand for themselves, the others for characters from 256 on.
+_ALPHABET = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
+class Encoder(dict):
+    """Token ids of texts as little-endian 32-bit numbers; parts met lately are looked up, not tokenized again."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # a special token's name in a text is ordinary text
-        self.lately: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
         self.before: dict[str, bytes] = {}
 
-    def _learn(self, parts: set[str]) -> dict[str, bytes]:
-        found = {p: self.before[p] for p in parts & self.before.keys()}
-        new = [p for p in parts if p not in found]
-        for start in range(0, len(new), 1000):
-            some = new[start : start + 1000]
-            for part, encoded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                found[part] = np.array(encoded.ids, "<u4").tobytes()
-        return found
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. About ``SLICE`` characters are in work at once, also of one long text."""
-        out: list[list[bytes]] = [[] for _ in texts]
-        batch, size = [], 0
-
-        def flush():
-            split = [_PARTS.findall(part) for _, part in batch]
-            known = self.lately
-            new = self._learn(set().union(*split) - known.keys()) if split else {}
-            known.update((p, ids) for p, ids in new.items() if len(p) <= 64)
-            lookup = known if all(p in known for p in new) else {**known, **new}
-            for (i, _), parts in zip(batch, split):
-                out[i].append(b"".join(map(lookup.__getitem__, parts)))
-            if len(known) > KEPT:
-                self.before, self.lately = known, {}
-            batch.clear()
-
-        for i, text in enumerate(texts):
-            at = 0
-            while at < len(text):
-                cut = _CUT.search(text, at + SLICE) if len(text) - at > SLICE else None
-                end = cut.start() if cut else len(text)
-                batch.append((i, text[at:end]))
-                size += end - at
-                at = end
-                if size >= SLICE:
-                    flush()
-                    size = 0
-        flush()
-        return [b"".join(parts) for parts in out]
+    def __missing__(self, part: str) -> bytes:
+        ids = self.before.get(part)
+        if ids is None:
+            runs = [part] if _WORD.fullmatch(part) else _RUNS.findall(part) if _PLAIN.fullmatch(part) else []
+            if not runs:
+                ids = array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+            elif len(runs) > 1:
+                ids = b"".join([self[run] for run in runs])
+            else:  # one run: merges alone
+                shown = part.encode().decode("latin-1").translate(_ALPHABET)
+                ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        if len(part) <= 64:
+            self[part] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text; about ``SLICE`` characters of a long one are in work at once."""
+        if len(self) > KEPT:
+            self.before = dict(self)
+            self.clear()
+        out, at = [], 0
+        while at < len(text):
+            cut = _CUT.search(text, at + SLICE) if len(text) - at > SLICE else None
+            end = cut.start() if cut else len(text)
+            out.append(b"".join(map(self.__getitem__, _PARTS.findall(text[at:end]))))
+            at = end
+        return b"".join(out)
 
 
 @cache
@@ -111,8 +110,8 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
             for low in range(0, batch.num_rows, 500):
                 some = batch.slice(low, 500)
                 rows = [[], [], [], [], [], []]
-                for row, ids in zip(some.column(0).to_pylist(), encode([t or "" for t in some.column(1).to_pylist()])):
-                    ids += end
+                for row, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                    ids = encode(text or "") + end
                     points = cut_points(len(ids) // 4, capacity)
                     for n, (a, b) in enumerate(zip(points, points[1:])):
                         own = ids[4 * a : 4 * b]

@@ -59,14 +59,14 @@ def test_ids_equal_whole_encoding(tokenizer, monkeypatch):
     alphabet = ["a", "b", " ", " ", "\n", "\t", "1", "'s", "é", " ", "​", "!", "word", "\x1f"]
     texts = [t or "" for t in AWKWARD] + ["".join(rng.choices(alphabet, k=rng.randint(0, 300))) for _ in range(400)]
     for some in (texts, texts[::-1], [texts[3]], []):
-        assert [numbers(x) for x in encoder.encode(some)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+        assert [numbers(encoder.encode(t)) for t in some] == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(max_size=40), max_size=4))
 def test_ids_of_any_text(texts):
     encoder = packing.encoder(packing.VOCABULARY)
-    assert [numbers(x) for x in encoder.encode(texts)] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [numbers(encoder.encode(t)) for t in texts] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 @settings(max_examples=60, deadline=None)
