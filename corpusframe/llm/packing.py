@@ -37,6 +37,8 @@ KEPT = 300_000  # words (about 60 MB) remembered by a Python worker, and as many
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Parts of a text that its tokens never cross: a word with the blank before it, or white space that no word takes.
 _PARTS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: A blank inside other white space, before which a text can't be cut.
+_INNER = re.compile(f"[{_SPACE}] (?:[{_SPACE}]|\\Z)")
 _CUT = re.compile(f"(?<=[^{_SPACE}]) (?=[^{_SPACE}])")
 
 
@@ -61,15 +63,20 @@ class Encoder(dict):
 
     def __missing__(self, part: str) -> bytes:
         ids = self.before.get(part)
-        if ids is None:
-            runs = [part] if _WORD.fullmatch(part) else _RUNS.findall(part) if _PLAIN.fullmatch(part) else []
-            if not runs:
+        if ids is not None:
+            pass
+        elif _WORD.fullmatch(part):  # merges alone
+            shown = part.replace(" ", "\u0120") if part.isascii() else part.encode().decode("latin-1").translate(_ALPHABET)
+            ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        else:
+            plain = _PLAIN.fullmatch(part)
+            parts = (_RUNS if plain else _PARTS).findall(part)
+            if len(parts) < 2:
                 ids = array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
-            elif len(runs) > 1:
-                ids = b"".join([self[run] for run in runs])
-            else:  # one run: merges alone
-                shown = part.encode().decode("latin-1").translate(_ALPHABET)
-                ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+            else:
+                ids = b"".join([self[p] for p in parts])
+                if not plain:  # holds a line break, so it hardly comes again
+                    return ids
         if len(part) <= 64:
             self[part] = ids
         return ids
@@ -83,7 +90,12 @@ class Encoder(dict):
         while at < len(text):
             cut = _CUT.search(text, at + SLICE) if len(text) - at > SLICE else None
             end = cut.start() if cut else len(text)
-            out.append(b"".join(map(self.__getitem__, _PARTS.findall(text[at:end]))))
+            some = text[at:end]
+            if "\0" in some or _INNER.search(some):
+                parts = _PARTS.findall(some)
+            else:  # the same but for line breaks, which a part may hold
+                parts = some.replace(" ", "\0 ").split("\0")
+            out.append(b"".join(map(self.__getitem__, parts)))
             at = end
         return b"".join(out)
 

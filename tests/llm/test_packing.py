@@ -56,8 +56,9 @@ def test_ids_equal_whole_encoding(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "KEPT", 30)
     encoder = packing.Encoder(packing.VOCABULARY)
     rng = random.Random(2)
-    alphabet = ["a", "b", " ", " ", "\n", "\t", "1", "'s", "é", " ", "​", "!", "word", "\x1f"]
+    alphabet = ["\0", "a", "b", " ", " ", "\n", "\t", "1", "'s", "é", " ", "​", "!", "word", "\x1f"]
     texts = [t or "" for t in AWKWARD] + ["".join(rng.choices(alphabet, k=rng.randint(0, 300))) for _ in range(400)]
+    texts += ["".join(rng.choices(["a", " ", "\n", "b"], k=rng.randint(0, 40))) for _ in range(400)]
     for some in (texts, texts[::-1], [texts[3]], []):
         assert [numbers(encoder.encode(t)) for t in some] == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
 
