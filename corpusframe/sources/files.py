@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusframe.functions import paths as P
 from corpusframe.sources import storage
+from corpusframe.sources.dealing import by_bytes
 from corpusframe.sources.scratch import fresh_folder
 
 LISTING = "path string, is_dir boolean, length long, modified double"
@@ -25,27 +26,34 @@ def io_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _list_children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def emit(rows: list) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=["path", "is_dir", "length", "modified"])
+def _pages(rows: Iterable[tuple]) -> Iterator[pd.DataFrame]:
+    held: list = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= _BATCH_ROWS:
+            yield pd.DataFrame(held, columns=["path", "is_dir", "length", "modified"])
+            held = []
+    if held:
+        yield pd.DataFrame(held, columns=["path", "is_dir", "length", "modified"])
 
+
+def _list_names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    yield from _pages(entry for batch in batches for path in batch["path"] for entry in storage.entries(path))
+
+
+def _look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows: list = []
-        for path in batch["path"]:
-            for child in storage.children(path):
-                rows.append(child)
-                if len(rows) >= _BATCH_ROWS:
-                    yield emit(rows)
-                    rows = []
-        if rows:
-            yield emit(rows)
+        rows = batch.itertuples(index=False, name=None)
+        yield from _pages(found for row in rows if (found := storage.looked_up(row)) is not None)
 
 
 def list_files(spark: SparkSession, roots: str | Iterable[str]) -> DataFrame:
     """Recursive listing of files, hidden ones included, one Spark job per directory level.
 
     Directories of a level are listed by tasks in parallel and every level is written to the
-    shared scratch folder, so the driver holds no listing. Missing roots give no rows.
+    shared scratch folder, so the driver holds no listing. A directory is read page by page for its
+    names only; sizes and times of the names, the slow part, are looked up by all tasks, also
+    where a level is one huge directory. Missing roots give no rows.
     """
     starts = [P.clean_root(r) for r in ([roots] if isinstance(roots, str) else roots)]
     target = fresh_folder(spark, "listing")
@@ -53,7 +61,8 @@ def list_files(spark: SparkSession, roots: str | Iterable[str]) -> DataFrame:
     levels: list[str] = []
     while True:
         levels.append(f"{target}/level_{len(levels):04d}")
-        frontier.mapInPandas(_list_children, LISTING).write.parquet(levels[-1])
+        names = frontier.mapInPandas(_list_names, LISTING).repartition(io_tasks(spark), "path")
+        names.mapInPandas(_look_up, LISTING).write.parquet(levels[-1])
         level = spark.read.schema(LISTING).parquet(levels[-1])
         directories = level.filter("is_dir").select("path")
         if directories.isEmpty():
@@ -124,12 +133,15 @@ def _read_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_contents(files: DataFrame, *keep: str) -> DataFrame:
     """(path, *keep, content) of exactly the listed files; archive members bring their bytes along."""
-    wanted = files.select("path", *keep, *[c for c in INLINE if c in files.columns])
+    wanted = files.select("path", *keep, *[c for c in INLINE if c in files.columns], _length(files))
     schema = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema if f.name != "archived"
+        f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema if f.name not in ("archived", "_length")
     )
-    spread = wanted.repartition(io_tasks(files.sparkSession), "path")
-    return spread.mapInPandas(_read_contents, schema + ", content binary")
+    return by_bytes(wanted, "_length").drop("_length").mapInPandas(_read_contents, schema + ", content binary")
+
+
+def _length(files: DataFrame) -> Column:
+    return (F.col("length") if "length" in files.columns else F.lit(None).cast("long")).alias("_length")
 
 
 def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -148,8 +160,8 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def file_digests(files: DataFrame) -> DataFrame:
     """(path, bytes_read, sha256); files of any size are streamed in chunks."""
-    spread = files.select("path").repartition(io_tasks(files.sparkSession), "path")
-    return spread.mapInPandas(_digest, "path string, bytes_read long, sha256 string")
+    spread = by_bytes(files.select("path", _length(files)), "_length")
+    return spread.select("path").mapInPandas(_digest, "path string, bytes_read long, sha256 string")
 
 
 def _write_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

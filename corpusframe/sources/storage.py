@@ -67,28 +67,42 @@ def is_dir(path: str) -> bool:
     return system.get_file_info(inner).type.name == "Directory"
 
 
-def children(path: str) -> Iterator[tuple[str, bool, int, float]]:
-    """(path, is_dir, length, modified seconds) of a directory's entries, or of a file itself."""
+Entry = tuple[str, bool, int | None, float | None]
+
+
+def entries(path: str) -> Iterator[Entry]:
+    """(path, is_dir, length, modified seconds) of a directory's entries, or of a file itself.
+
+    Length and time are None where ``looked_up`` has yet to find them; names come page by page.
+    """
     remote = _remote(path)
     if remote is not None:
         yield from _remote_children(path, *remote)
         return
     if not os.path.isdir(path):
-        if os.path.isfile(path):
-            found = os.stat(path)
-            yield path, False, found.st_size, found.st_mtime
+        yield path, False, None, None
         return
-    with os.scandir(path) as entries:
-        for entry in entries:
-            if entry.is_dir(follow_symlinks=False):
-                yield entry.path, True, 0, 0.0
-                continue
-            try:
-                found = entry.stat()
-            except FileNotFoundError:  # dangling link, or removed while listing
-                continue
-            if stat.S_ISREG(found.st_mode):
-                yield entry.path, False, found.st_size, found.st_mtime
+    with os.scandir(path) as found:
+        for entry in found:
+            is_dir = entry.is_dir(follow_symlinks=False)
+            yield entry.path, is_dir, 0 if is_dir else None, 0.0 if is_dir else None
+
+
+def looked_up(entry: Entry) -> Entry | None:
+    """The entry with its length and time; None if it is gone, a dangling link or no regular file."""
+    path, is_dir, length, modified = entry
+    if length is not None and length == length:
+        return path, is_dir, int(length), modified
+    try:
+        found = os.stat(path)
+    except (FileNotFoundError, NotADirectoryError):
+        return None
+    return (path, False, found.st_size, found.st_mtime) if stat.S_ISREG(found.st_mode) else None
+
+
+def children(path: str) -> Iterator[tuple[str, bool, int, float]]:
+    """The entries of one directory with lengths and times."""
+    return (found for entry in entries(path) if (found := looked_up(entry)) is not None)
 
 
 def _remote_children(path: str, system: Any, inner: str) -> Iterator[tuple[str, bool, int, float]]:
