@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusframe.functions.text import decode, strip
+from corpusframe.sources.commits import VERSION, CommitLog
 from corpusframe.sources.files import file_digests, read_contents
+from corpusframe.sources.scratch import written
 
 PART, CHECKSUM = ".part", ".checksum"
 
@@ -77,3 +81,33 @@ def changed_since(current: DataFrame, ledger: DataFrame) -> DataFrame:
 def record_loaded(loaded: DataFrame, ledger_path: str) -> None:
     """Append what was loaded; call it after the load's own output is written."""
     loaded.select("path", "checksum").write.mode("append").parquet(ledger_path)
+
+
+def load_changed(log: CommitLog, current: DataFrame, load: Callable[[DataFrame], DataFrame]) -> int | None:
+    """Load the rows of ``current`` (path, checksum, ..) that no commit has with that checksum.
+
+    Output and ledger are one commit, so a load that dies leaves neither, and the next one starts as if it
+    had not been. The number of the commit, or None where there was nothing to load. Read the output of
+    all loads with ``loaded_output``.
+    """
+    ledger = log.read("ledger")
+    wanted = written(current if ledger is None else changed_since(current, ledger), "wanted")
+    if wanted.isEmpty():
+        return None
+    return log.commit(output=load(wanted), ledger=wanted.select("path", "checksum"))
+
+
+def loaded_output(log: CommitLog, key: str = "path") -> DataFrame | None:
+    """Rows of every file's newest load; rows that an older load of the file gave are passed over."""
+    rows, ledger = log.read("output"), log.read("ledger")
+    if rows is None:
+        return None
+    newest = ledger.groupBy(F.col("path").alias("_file")).agg(F.max(VERSION).alias("_newest"))
+    same = [F.col(key) == F.col("_file"), F.col(VERSION) == F.col("_newest")]
+    return rows.join(newest, same, "left_semi").drop(VERSION)
+
+
+def compact_ledger(log: CommitLog) -> None:
+    """Fold the ledger into one row for each file; what was loaded stays known."""
+    newest = F.max_by(F.struct("checksum", F.col(VERSION).alias("v")), VERSION).alias("l")
+    log.compact("ledger", lambda rows: rows.groupBy("path").agg(newest).select("path", "l.checksum", F.col("l.v").alias(VERSION)))
