@@ -1,13 +1,16 @@
 """Archive members as rows, without unpacking to disk.
 
 A compressed tar can only be read front to back, so it is one task. Members of zip and plain
-tar files are listed first and then read by many tasks, each seeking to its own members.
+tar files are listed once, into an index of where their bytes lie; many tasks then read just those ranges.
+The index can be stored and used again.
 """
 
 from __future__ import annotations
 
+import struct
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,12 +18,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusframe.functions import paths as P
 from corpusframe.sources import storage
+from corpusframe.sources.dealing import by_bytes
 from corpusframe.sources.files import io_tasks, glob_regex, manifest_of, union_all
 from corpusframe.sources.scratch import written
 from corpusframe.spec import LoadSpec
 
 MEMBERS = "archive string, member string, length long, content binary"
-LOCATED = "archive string, member string, length long, place long"
+#: Where a member lies: ``place`` is the offset of its bytes in a tar, of its local header in a zip;
+#: ``method`` is how a zip packed it (-1: not packed, as in a tar), ``packed`` the bytes to read, ``crc`` their checksum.
+LOCATED = "archive string, member string, length long, place long, packed long, method int, crc long"
 SEEKABLE = r"(?i)\.(zip|tar)$"
 _BATCH_ROWS, _BATCH_BYTES = 1024, 32 << 20
 _UNSAFE = "<outside>"
@@ -71,35 +77,81 @@ def _stream(archive: str, keep) -> Iterator[tuple]:
 
 
 def _locate(archive: str) -> Iterator[tuple]:
-    """(archive, member, length, place) of a seekable archive; place is its order or offset."""
+    """Rows of ``LOCATED`` for a seekable archive, from its directory or headers alone."""
     with storage.open_binary(archive) as raw:
         if zipfile.is_zipfile(raw):
             raw.seek(0)
             with zipfile.ZipFile(raw) as packed:
-                for order, info in enumerate(packed.infolist()):
+                for info in packed.infolist():
                     if not info.is_dir():
-                        yield archive, safe_member(info.filename, zipped=True), info.file_size, order
+                        method = _ODD if info.flag_bits & _ENCRYPTED else info.compress_type
+                        yield archive, safe_member(info.filename, zipped=True), info.file_size, info.header_offset, info.compress_size, method, info.CRC
             return
         raw.seek(0)
         with tarfile.open(fileobj=raw, mode="r:") as tar:
             for info in tar:
                 if info.isfile():
-                    yield archive, safe_member(info.name, zipped=False), info.size, info.offset_data
+                    yield archive, safe_member(info.name, zipped=False), info.size, info.offset_data, info.size, _PLAIN, 0
+
+
+_PLAIN, _ODD, _ENCRYPTED = -1, -2, 1
+_LOCAL_HEADER, _HEADER_BYTES = "<4s5H3L2H", 30  # fixed layout of a zip's local file header
+
+
+def _ranged(raw, row) -> bytes:
+    """A member's bytes from its own range: a zip's member has a short header before them."""
+    raw.seek(row.place)
+    if row.method == _PLAIN:
+        return raw.read(row.length)
+    fields = struct.unpack(_LOCAL_HEADER, raw.read(_HEADER_BYTES))
+    if fields[0] != b"PK\3\4":
+        raise ValueError(f"archive '{row.archive}' has no member where '{row.member}' was listed; list it again")
+    raw.seek(row.place + _HEADER_BYTES + fields[9] + fields[10])
+    content = raw.read(row.packed)
+    if row.method == zipfile.ZIP_DEFLATED:
+        content = zlib.decompress(content, -zlib.MAX_WBITS)
+    if len(content) != row.length or zlib.crc32(content) != row.crc:
+        raise ValueError(f"member '{row.member}' of archive '{row.archive}' is damaged")
+    return content
+
+
+def _whole(raw, row) -> bytes:
+    """A member packed in a rare way, through the archive's own directory."""
+    with zipfile.ZipFile(raw) as packed:
+        return packed.read(next(i for i in packed.infolist() if i.header_offset == row.place))
 
 
 def _fetch(batch: pd.DataFrame) -> Iterator[tuple]:
     for archive, rows in batch.groupby("archive", sort=False):
         with storage.open_binary(archive) as raw:
-            # by the bytes, as when it was listed: a name says nothing about what is inside
-            packed = zipfile.ZipFile(raw) if zipfile.is_zipfile(raw) else None
-            members = packed.infolist() if packed else None
             for row in rows.sort_values("place").itertuples():
-                if packed:
-                    content = packed.read(members[row.place])
-                else:
-                    raw.seek(row.place)
-                    content = raw.read(row.length)
-                yield archive, row.member, row.length, content
+                near = row.method in (_PLAIN, zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED)
+                yield archive, row.member, row.length, (_ranged if near else _whole)(raw, row)
+
+
+def member_index(archives: DataFrame, on_error: str = "fail") -> DataFrame:
+    """``LOCATED`` rows of the members of zip and plain tar files in ``archives.path``, one task an archive.
+
+    Write it beside the archives to fetch members again without listing them; it is valid while they are.
+    """
+    columns = [part.split()[0] for part in LOCATED.split(", ")]
+
+    def located(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for archive in batch["path"]:
+                yield from _frames(_locate(archive), columns, on_error == "fail")
+
+    return by_bytes(archives.select("path", F.lit(None).cast("long").alias("length"))).select("path").mapInPandas(located, LOCATED)
+
+
+def fetch_members(index: DataFrame) -> DataFrame:
+    """(archive, member, length, content) of the index rows given, in tasks of equal bytes; nothing else is read."""
+
+    def fetched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield from _frames(_fetch(batch), ["archive", "member", "length", "content"], False)
+
+    return by_bytes(index, "packed").mapInPandas(fetched, MEMBERS)
 
 
 def archive_members(
@@ -123,30 +175,21 @@ def archive_members(
             for archive in batch["path"]:
                 yield from _frames(_stream(archive, keep), ["archive", "member", "length", "content"], strict)
 
-    def located(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for archive in batch["path"]:
-                yield from _frames(_locate(archive), ["archive", "member", "length", "place"], strict)
-
-    def fetched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield from _frames(_fetch(batch), ["archive", "member", "length", "content"], strict)
-
     tasks = io_tasks(archives.sparkSession)
     paths = archives.select("path")
     seekable = F.col("path").rlike(SEEKABLE)
     one_task_each = paths.filter(~seekable).repartition(tasks, "path").mapInPandas(streamed, MEMBERS)
-    places = paths.filter(seekable).repartition(tasks, "path").mapInPandas(located, LOCATED)
+    places = member_index(archives.filter(seekable), on_error)
     if content_of is None:
         return one_task_each.unionByName(
             places.select("archive", "member", "length", F.lit(None).cast("binary").alias("content"))
         )
+    places = written(places, "members")
     chosen = F.col("member").rlike(content_of)
-    read = places.filter(chosen).repartition(tasks, "archive", "member").mapInPandas(fetched, MEMBERS)
     rest = places.filter(~chosen).select(
         "archive", "member", "length", F.lit(None).cast("binary").alias("content")
     )
-    return union_all([one_task_each, read, rest])
+    return union_all([one_task_each, fetch_members(places.filter(chosen)), rest])
 
 
 def find_archives(manifest: DataFrame, names: list[str], root: str) -> list[str]:
