@@ -12,7 +12,7 @@ from corpusframe.operators.mapping import map_columns
 from corpusframe.operators.resolve import PathRule, direct_candidates
 from corpusframe.plans.layouts import glob_rows, json_frame, load, split_glob
 from corpusframe.sources import storage
-from corpusframe.sources.archives import archive_members
+from corpusframe.sources.archives import archive_members, fetch_members, member_index
 from corpusframe.sources.files import (
     io_tasks,
     list_files,
@@ -335,7 +335,7 @@ def multi_sections(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, spec, folder)
 
 
-def _pack(batches):
+def _pack(batches, kinds=(".tar.gz", ".zip", ".tar")):
     """Corpus preparation: every 500 documents become one archive, kinds taking turns."""
     import io
     import tarfile
@@ -347,7 +347,7 @@ def _pack(batches):
         for start in range(0, len(batch), 500):
             part = batch.iloc[start : start + 500]
             first = part["doc_id"].iloc[0]
-            kind = (".tar.gz", ".zip", ".tar")[first % 3]
+            kind = kinds[first % len(kinds)]
             names = [f"{lang}/{doc}.txt" for lang, doc in zip(part["lang"], part["doc_id"])]
             bodies = [text.encode("utf-8") for text in part["text"]]
             out = io.BytesIO()
@@ -377,6 +377,25 @@ def archive_members_query(spark: SparkSession, sf: str) -> DataFrame:
     return members.select("member", "length", decode(F.col("content"), "utf-8").alias("text"))
 
 
+@check(
+    "member_index",
+    "SELECT lang || '/' || doc_id || '.txt' AS member, CAST(strlen(text) AS BIGINT) AS length, "
+    "CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN text END AS text FROM documents",
+)
+def member_index_query(spark: SparkSession, sf: str) -> DataFrame:
+    """All members from a stored index; the bytes of those of labelled documents alone."""
+    folder, store = D.fresh(spark, "packs"), D.fresh(spark, "member-index")
+    docs = D.table(spark, sf, "documents").select("doc_id", "lang", "text", F.lit(folder).alias("folder"))
+    packed = docs.repartition(io_tasks(spark), "doc_id").mapInPandas(lambda batches: _pack(batches, (".zip", ".tar")), "n long")
+    packed.write.format("noop").mode("overwrite").save()
+    member_index(list_files(spark, folder)).write.parquet(store)
+    index = spark.read.parquet(store)
+    labelled = D.table(spark, sf, "labels").select(F.concat(F.lit("/"), D.text_of("doc_id"), F.lit(".txt")).alias("end")).distinct()
+    wanted = index.join(labelled, F.concat(F.lit("/"), F.substring_index("member", "/", -1)) == F.col("end"), "left_semi")
+    read = fetch_members(wanted).select("archive", "member", decode(F.col("content"), "utf-8").alias("text"))
+    return index.join(read, ["archive", "member"], "left").select("member", "length", "text")
+
+
 @check(
     "file_order",
     f"WITH {D.PAGES_SQL} SELECT rel AS rel_path, depth FROM mf ORDER BY depth, rel",

@@ -1,31 +1,19 @@
-"""Reading delimited records whose quoted fields may hold line breaks, in parallel.
+"""Reading delimited records whose quoted fields may hold line breaks.
 
-Spark reads a multi-line file in one task. That is fine for a file no larger than one input
-split. Larger files are read by lines in many tasks: when no record spans lines the plain
-splittable reader is exact; otherwise lines are put together to records by tracking, per
-input split, whether a line starts inside a quoted field.
+Spark's own reader does all parsing, at every file size alike: a file, or each shard of an index, is one
+task, as only a reader that starts at its beginning knows which line breaks are quoted. Where the spec
+says ``single_line`` no field holds a line break and files are split.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-from corpusframe.sources import storage
 from corpusframe.spec import LoadSpec, SpecError
 
 
-def _split_bytes(spark: SparkSession) -> int:
-    text = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    found = re.match(r"(\d+)\s*([kmgt]?)", text.lower())
-    return int(found.group(1)) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[found.group(2)]
-
-
-def _largest_file(path: str) -> int:
-    return max((size for _, is_dir, size, _ in storage.children(path) if not is_dir), default=0)
-
-
 def read_quoted(
     spark: SparkSession, path: str, schema: T.StructType, options: dict, spec: LoadSpec
 ) -> DataFrame:
@@ -33,134 +21,5 @@ def read_quoted(
         raise SpecError(f"index path '{path}' holds glob characters, which Spark would expand")
     if path.rsplit("/", 1)[-1].startswith(("_", ".")):
         raise SpecError(f"index '{path}' begins with '_' or '.'; Spark's readers pass over such files, so it must be renamed")
-    reader = spark.read.schema(schema).options(**options)
-    if spec.extra.get("single_line"):
-        return reader.csv(path)
-    one_task_is_enough = _largest_file(path) <= _split_bytes(spark)
-    by_lines = len(options["sep"]) == 1 and options["encoding"] in ("UTF-8", "US-ASCII", "ISO-8859-1")
-    if one_task_is_enough or not by_lines:
-        return reader.option("multiLine", True).csv(path)
-    spanning, odd_breaks = line_breaks(spark, path, options)
-    if odd_breaks:  # only the whole-file reader knows which kind of break a file uses
-        return reader.option("multiLine", True).csv(path)
-    if not spanning:
-        return reader.csv(path)
-    return assemble(spark, path, schema, options)
-
-
-def _line_patterns(separator: str) -> tuple[str, str]:
-    """Regexes for: a line begun outside a quoted field ends inside one; same, begun inside."""
-    sep = re.escape(separator)
-    text = '[^"]*+(?:""[^"]*+)*+'
-    opened = f' *+"{text}\\z'
-    field = f'(?: *+"{text}"[^{sep}]*+| *+(?:[^{sep}" ][^{sep}]*+)?+)'
-    from_outside = f"^(?:{field}{sep})*+{opened}"
-    from_inside = f'^{text}(?:\\z|"[^{sep}]*+{sep}(?:{field}{sep})*+{opened})'
-    return from_outside, from_inside
-
-
-def _lines(spark: SparkSession, path: str, options: dict) -> DataFrame:
-    from_outside, from_inside = _line_patterns(options["sep"])
-    charset = options["encoding"]
-    lines = spark.read.text(path, lineSep="\n").select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
-        # the text source keeps raw bytes, so any single-byte charset survives
-        (F.col("value") if charset != "ISO-8859-1" else F.decode(F.col("value").cast("binary"), charset)).alias("line"),
-    )
-    lines = lines.withColumn("line", F.regexp_replace("line", "\r$", ""))
-    return lines.select(
-        "*",
-        F.col("line").rlike(from_outside).cast("int").alias("after_out"),
-        F.col("line").rlike(from_inside).cast("int").alias("after_in"),
-    )
-
-
-def line_breaks(spark: SparkSession, path: str, options: dict) -> tuple[bool, bool]:
-    """Whether some record holds a line break (a line begun outside ends inside a quote), and whether
-    some line holds a carriage return that no line feed follows."""
-    lines = _lines(spark, path, options)
-    spanning, odd = lines.agg(F.max(F.col("after_out") == 1), F.max(F.contains("line", F.lit("\r")))).first()
-    return bool(spanning), bool(odd)
-
-
-def assemble(
-    spark: SparkSession, path: str, schema: T.StructType, options: dict
-) -> DataFrame:
-    """Records of large files with quoted line breaks, without reading a file in one task."""
-    split = ["file", "block"]
-    in_split = Window.partitionBy(*split).orderBy("pos")
-    upto = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    over_splits = Window.partitionBy("file").orderBy("block")
-    before = over_splits.rowsBetween(Window.unboundedPreceding, -1)
-
-    def last_fixed(window: Window):
-        return F.last(F.when(F.col("fixed"), F.struct("value", "flips")), ignorenulls=True).over(window)
-
-    def state(start) -> F.Column:
-        """Inside (1) or outside (0) after a row: the last fixed value, or the start, flipped."""
-        known = F.col("last.value").bitwiseXOR(((F.col("flips") - F.col("last.flips")) % 2).cast("int"))
-        return F.coalesce(known, start.bitwiseXOR((F.col("flips") % 2).cast("int")))
-
-    lines = _lines(spark, path, options).select(
-        *split,
-        "pos",
-        "line",
-        (F.col("after_out") == F.col("after_in")).alias("fixed"),
-        F.col("after_out").alias("value"),
-        ((F.col("after_out") == 1) & (F.col("after_in") == 0)).cast("long").alias("flip"),
-    )
-    lines = lines.withColumn("flips", F.sum("flip").over(upto)).withColumn("last", last_fixed(upto))
-
-    # one row per input split: what it does to the state, chained over the splits of a file
-    splits = lines.groupBy(*split).agg(
-        F.max_by(F.struct("flips", "last"), "pos").alias("end")
-    ).select(*split, "end.flips", "end.last")
-    # a split with a fixed line ends in a state that does not depend on how it began
-    splits = splits.select(
-        *split,
-        F.col("last").isNotNull().alias("fixed"),
-        F.when(F.col("last").isNotNull(), state(F.lit(0))).alias("value"),
-        F.sum("flips").over(over_splits).alias("flips"),
-    )
-    splits = (
-        splits.withColumn("last", last_fixed(over_splits))
-        .withColumn("ends", state(F.lit(0)))
-        .select(*split, F.coalesce(F.lag("ends").over(over_splits), F.lit(0)).alias("start"))
-    )
-
-    lines = lines.join(splits, split).withColumn("inside_after", state(F.col("start")))
-    lines = lines.withColumn(
-        "begins",
-        (F.coalesce(F.lag("inside_after").over(in_split), F.col("start")) == 0).cast("long"),
-    ).withColumn("number", F.sum("begins").over(upto))
-    # leading lines of a split may belong to the last record begun in an earlier split
-    carried = (
-        lines.groupBy(*split)
-        .agg(F.max("number").alias("begun"))
-        .select(
-            *split,
-            F.last(F.when(F.col("begun") > 0, F.struct("block", "begun")), ignorenulls=True)
-            .over(before)
-            .alias("open_record"),
-        )
-    )
-    lines = lines.join(carried, split)
-    own = F.struct("block", F.col("number").alias("begun"))
-    records = (
-        lines.select("file", F.when(F.col("number") > 0, own).otherwise(F.col("open_record")).alias("record"),
-                     F.struct("block", "pos", "line").alias("piece"))
-        .groupBy("file", "record")
-        .agg(F.array_join(F.transform(F.array_sort(F.collect_list("piece")), lambda p: p["line"]), "\n").alias("text"))
-    )
-    records = records.filter(F.trim("text") != "")
-    if options["header"]:  # the first record that is not blank, as the whole-file reader has it
-        heads = records.groupBy("file").agg(F.min("record").alias("record"))
-        records = records.join(heads, ["file", "record"], "left_anti")
-    parser = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items()
-              if k in ("sep", "quote", "escape", "ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace")}
-    parsed = records.select(
-        F.from_csv("text", schema.simpleString()[len("struct<"):-1].replace(":", " "), parser).alias("r")
-    )
-    return parsed.select("r.*")
+    whole_records = not spec.extra.get("single_line")
+    return spark.read.schema(schema).options(**options).option("multiLine", whole_records).csv(path)

@@ -256,15 +256,17 @@ def test_shards_with_another_header_are_refused(spark, tree):
         load(spark, spec(columns, index_file="_m.csv"), root)
 
 
-@pytest.mark.parametrize("text", ['\na,b\n1,"x\ny"\n2,z\n', 'a,b\r1,"x\ry"\r2,z\r', 'a,b\r\n1,"x\r\ny"\r\n2,z\r\n', "\n\na,b\n1,x\n"])
+@pytest.mark.parametrize("text", ['\na,b\n1,"x\ny"\n2,z\n', 'a,b\r1,"x\ry"\r2,z\r', 'a,b\r\n1,"x\r\ny"\r\n2,z\r\n', "\n\na,b\n1,x\n",
+    "a,b\n" + "".join(f'{i},\t"p\nq {i}"\n' for i in range(40)), 'a,b\n1,x\n99,"never closed\nlast line\n'])
 def test_same_rows_at_every_file_size(spark, tree, text):
     root = tree({"m.csv": text * 1})
     columns = {"a": {"source_column": "a", "dtype": "int"}, "b": {"source_column": "b"}}
     whole = rows(load(spark, spec(columns, index_file="m.csv"), root))
-    assert whole and all(r["a"] is not None for r in whole)
+    assert whole and all(r["a"] is not None for r in whole) and len(whole) in (1, 2, 40)
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "9b")
-        assert rows(load(spark, spec(columns, index_file="m.csv"), root)) == whole
+        for size in ("9b", "100b", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert rows(load(spark, spec(columns, index_file="m.csv"), root)) == whole
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
