@@ -11,8 +11,9 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from corpusframe.llm.columns import apart
 from corpusframe.llm.registry import register, table
 from corpusframe.llm.tokens import ALNUM, chunked, sequences, signed
 from corpusframe.sources.scratch import written
@@ -110,8 +111,13 @@ def positional_index(docs: DataFrame, terms: np.ndarray, anchors: np.ndarray, re
     return docs.select(*KEY, "text").mapInArrow(post, "_id long, _key long, n_words long, terms array<long>, places array<int>")
 
 
+def _key(doc_id: Column, text: Column) -> Column:
+    """Hash of the text; the last bit says that the id is null."""
+    return F.shiftleft(F.xxhash64(text), 1).bitwiseOR(doc_id.isNull().cast("long"))
+
+
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(doc_id), F.lit(-1)).cast("long").alias("_id"), F.xxhash64(F.col(text)).alias("_key"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return docs.select(F.coalesce(F.col(doc_id), F.lit(0)).cast("long").alias("_id"), _key(F.col(doc_id), F.col(text)).alias("_key"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
 
 def _slice(docs: DataFrame, windows: DataFrame, length: int, slop: int) -> tuple[DataFrame, DataFrame]:
@@ -190,7 +196,7 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     named = found.select(*KEY, "window").distinct().join(windows.select("item_id", "window").distinct(), "window")
     named = named.groupBy(*KEY).agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     sums = index.select(F.col("_id"), "_key", "n_words").join(hits, KEY, "left").join(named, KEY, "left")
-    ids = F.when(F.col("_id") != -1, F.col("_id"))
+    ids = F.when(F.col("_key").bitwiseAND(1) == 0, F.col("_id"))
     n_hit, items_ = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
     return sums.select(
         ids.alias("doc_id"),
@@ -206,8 +212,9 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 def decontaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the contaminated ones; all columns are kept."""
     bad = contamination(docs, items, doc_id, text, **options).filter("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("_key").alias("_bad_key")).distinct()
-    same = [F.xxhash64(docs[text]) == bad["_bad_key"], docs[doc_id].eqNullSafe(bad["_bad_id"])]
-    return docs.join(bad, same, "left_anti")
+    own, name = apart(docs)
+    same = [_key(own[name[doc_id]], own[name[text]]) == bad["_bad_key"], own[name[doc_id]].eqNullSafe(bad["_bad_id"])]
+    return own.join(bad, same, "left_anti").select(*[F.col(n).alias(c) for c, n in name.items()])
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

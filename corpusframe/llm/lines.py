@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusframe.functions.text import bind
+from corpusframe.llm.columns import apart
 from corpusframe.llm.registry import register, table
 from corpusframe.sources.scratch import written
 
@@ -117,8 +118,9 @@ def with_lines_removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
     """``docs`` with later copies of repeated line runs taken out of the text; all rows and columns stay."""
-    found = with_lines_removed(docs, doc_id, text, min_lines)
-    return found.select(*[F.col("_kept").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    own, name = apart(docs)
+    found = with_lines_removed(own, name[doc_id], name[text], min_lines)
+    return found.select(*[F.col("_kept" if c == text else name[c]).alias(c) for c in docs.columns])
 
 
 SQL = r"""

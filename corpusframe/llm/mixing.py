@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from corpusframe.llm.columns import apart
 from corpusframe.llm.registry import register, table
 from corpusframe.llm.tokens import NOT_SPACE, chunked, mix
 from corpusframe.sources.scratch import written
@@ -149,16 +150,20 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` that the mix takes, with the column ``copies`` behind their own columns.
+    """``docs`` that the mix takes, with the column ``copies`` behind their own columns (``mix_copies`` where they have one of that name, and so on).
 
     Repeated rows, of one id, text and source, become one row with all their copies.
     """
-    found = mix_sources(docs, doc_id, text, **options).filter("copies > 0")
+    out = "copies"
+    while out in docs.columns:
+        out = f"mix_{out}"
+    docs, name = apart(docs)
+    doc_id, text, source = name[doc_id], name[text], name[options.pop("source", "source")]
+    found = mix_sources(docs, doc_id, text, source, **options).filter("copies > 0")
     per = found.groupBy(F.col("doc_id").alias("_mix_id"), F.col("_key").alias("_mix_key"), F.col("source").alias("_mix_source")).agg(F.sum("copies").alias("_copies"))
-    source = options.get("source", "source")
     same = [docs[doc_id].eqNullSafe(per["_mix_id"]), F.xxhash64(docs[text]) == per["_mix_key"], docs[source].eqNullSafe(per["_mix_source"])]
     taken = docs.join(per, same).dropDuplicates(["_mix_id", "_mix_key", "_mix_source"])
-    return taken.select(*[docs[c] for c in docs.columns], F.col("_copies").alias("copies"))
+    return taken.select(*[docs[n].alias(c) for c, n in name.items()], F.col("_copies").alias(out))
 
 
 @register("op2_pivotal_mixing")

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusframe.llm.columns import apart
 from corpusframe.llm.lattice import hashed_remainder
 from corpusframe.llm.registry import register, table
 from corpusframe.llm.tokens import NOT_SPACE, Words, chunked
@@ -182,7 +183,8 @@ def held_out(doc_id: str) -> Column:
 def good_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """``docs`` whose score is at least one half, with their own columns; trained on labels that are not held out."""
     model = fit(docs, labels.filter(~held_out(doc_id)), doc_id, text, label)
-    return scored(docs, model, text, "_quality_score").filter("_quality_score >= 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    own, name = apart(docs)
+    return scored(own, model, name[text], "_quality_score").filter("_quality_score >= 0.5").select(*[F.col(n).alias(c) for c, n in name.items()])
 
 
 @register("op3_attention_quality")

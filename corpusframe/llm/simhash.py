@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from corpusframe.llm.components import components
+from corpusframe.llm.columns import apart
 from corpusframe.llm.registry import register, table
 from corpusframe.llm.tokens import LOWER
 from corpusframe.sources.scratch import written
@@ -227,12 +228,14 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
 
     Rows are told apart by id and text, so of repeated rows one stays. All columns are kept.
     """
+    docs, name = apart(docs)
+    doc_id, text = name[doc_id], name[text]
     found = near_duplicates(docs, doc_id, text, words, budget)
     first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("_root").agg(F.first("component_id").alias("_kept_id"), F.min("_key").alias("_kept_key"))
     own = docs.withColumn("_kept_key", F.xxhash64(F.col(text))).withColumn("_kept_id", F.col(doc_id))
     same = [own["_kept_key"] == first["_kept_key"], own["_kept_id"].eqNullSafe(first["_kept_id"])]
     kept = own.join(first, same, "left_semi")
-    return kept.dropDuplicates(["_kept_key", "_kept_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.dropDuplicates(["_kept_key", "_kept_id"]).select(*[F.col(n).alias(c) for c, n in name.items()])
 
 
 @register("op4_simhash_trie")

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,10 +65,15 @@ def test_large_buckets_are_dealt_out(spark, monkeypatch, codes):
     check_exact(neighbours.nearest_neighbours(frame(spark, rows), F.col("vec_id") % 20 == 0, plan=plan), rows)
 
 
-@pytest.mark.parametrize("sf,plan", [("sf0.01", None), ("check_s", None), ("check_s", Tables(64, 2, 12, 384))])
-def test_recall(spark, sf, plan):
-    vectors = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
-    rows = vectors.orderBy("vec_id").toPandas()
+@pytest.mark.parametrize("count,dimensions,plan", [(12_000, 64, None), (12_000, 64, Tables(64, 2, 12, 384)), (10_000, 384, None)])
+def test_recall(spark, tmp_path, count, dimensions, plan):
+    """Unit vectors in loose clusters, more of them than a table that is searched whole."""
+    rng = np.random.default_rng(count + dimensions)
+    made = rng.normal(size=(count // 20, dimensions))[rng.integers(0, count // 20, count)] + 0.9 * rng.normal(size=(count, dimensions))
+    made = (made / np.linalg.norm(made, axis=1, keepdims=True)).astype(np.float32)
+    rows = pd.DataFrame({"vec_id": np.arange(count), "embedding": list(made)})
+    rows.to_parquet(tmp_path / "v.parquet")
+    vectors = spark.read.parquet(str(tmp_path / "v.parquet")).repartition(8)
     x, ids = np.array(rows.embedding.tolist(), float), rows.vec_id.to_numpy()
     asked = np.flatnonzero(ids % 20 == 0)
     scores = x[asked] @ x.T
