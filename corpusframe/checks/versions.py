@@ -1,7 +1,9 @@
-"""Queries over versioned manifests and loads that commit once."""
+"""Queries over versioned manifests, loads that commit once and media that land late."""
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusframe.checks import derived as D
@@ -9,6 +11,7 @@ from corpusframe.checks.registry import check
 from corpusframe.operators.ledger import compact_ledger, load_changed, loaded_output
 from corpusframe.operators.snapshots import Snapshots
 from corpusframe.sources.commits import CommitLog
+from corpusframe.streaming.late import FOUND, await_media, write_told
 
 
 def three_snapshots(spark: SparkSession, sf: str) -> Snapshots:
@@ -81,3 +84,29 @@ def committed_loads(spark: SparkSession, sf: str) -> DataFrame:
     urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     load_changed(log, current.withColumn("checksum", F.when(urgent, "b").otherwise("a")), load(3))
     return loaded_output(log).select(F.col("path").cast("long").alias("key"), "load", "n_lines")
+
+
+@check(
+    "stream_late_media",
+    "SELECT l_orderkey AS key, l_linenumber AS line, o_orderstatus <> 'P' AS found FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+)
+def stream_late_media(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of all orders land first, with the files of finished orders; open ones land in a second run; others never."""
+    orders, lines = D.table(spark, sf, "orders"), D.table(spark, sf, "lineitem")
+    folder, start = D.fresh(spark, "late"), datetime(2024, 1, 1)
+    media = orders.select(F.concat(D.text_of("o_orderkey"), F.lit(".wav")).alias("path"), "o_orderstatus")
+    index = lines.select(F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("line"), F.concat(D.text_of("l_orderkey"), F.lit(".wav")).alias("path"), F.lit(start).alias("at"))
+    later = spark.createDataFrame([("later.wav", start + timedelta(days=1))], "path string, at timestamp")
+    runs = [
+        media.filter("o_orderstatus = 'F'").select("path", F.lit(start).alias("at")),
+        media.filter("o_orderstatus = 'O'").select("path", F.lit(start + timedelta(minutes=30)).alias("at")),
+        later,
+    ]
+    for number, files in enumerate(runs):
+        if not number:
+            index.write.parquet(f"{folder}/rows")
+        files.write.mode("append").parquet(f"{folder}/files")
+        rows = spark.readStream.schema(index.schema).parquet(f"{folder}/rows")
+        landed = spark.readStream.schema(later.schema).parquet(f"{folder}/files")
+        write_told(await_media(rows, landed, "path", "at", timedelta(hours=1)), f"{folder}/out", f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("key", "line", F.col(FOUND).alias("found"))
