@@ -1,6 +1,4 @@
 import random
-from collections import Counter
-from itertools import groupby
 
 import pytest
 
@@ -51,19 +49,34 @@ def test_equals_brute_force(spark, m):
         assert kept.columns == docs.columns and kept.count() == len(texts)
 
 
-def test_maximal_runs(spark):
-    rng = random.Random(9)
-    docs = [[rng.choice("abcdef") for _ in range(rng.randint(1, 12))] for _ in range(12)]
+def slow_runs(docs, m):
+    """Longest repeated prefix of every suffix by comparing all pairs; those that no longer one a line before has as its tail."""
+    places = [(d, p) for d, own in enumerate(docs) for p in range(len(own))]
+
+    def common(a, b):
+        n, x, y = 0, docs[a[0]], docs[b[0]]
+        while a[1] + n < len(x) and b[1] + n < len(y) and x[a[1] + n] == y[b[1] + n]:
+            n += 1
+        return n
+
+    length = {a: max((common(a, b) for b in places if b != a), default=0) for a in places}
+    return {(d, p, n) for (d, p), n in length.items() if n >= m and length.get((d, p - 1), 0) <= n}
+
+
+@pytest.mark.parametrize("seed,letters,most,m", [(9, "abcdef", 12, 1), (1, "ab", 25, 3), (2, "abc", 40, 2)])
+def test_maximal_runs_equal_all_pairs(spark, seed, letters, most, m):
+    rng = random.Random(seed)
+    docs = [[rng.choice(letters) for _ in range(rng.randint(1, most))] for _ in range(12)]
     docs[5] = docs[2] + ["z"]
-    got = {tuple(r) for r in lines.repeated_runs(documents(spark, ["\n".join(d) for d in docs])).collect()}
-    windows = Counter(tuple(own[p : p + 2]) for own in docs for p in range(len(own) - 1))
-    want = set()
-    for d, own in enumerate(docs):
-        starts = [p for p in range(len(own) - 1) if windows[tuple(own[p : p + 2])] > 1]
-        for _, group in groupby(enumerate(starts), lambda x: x[1] - x[0]):
-            group = [p for _, p in group]
-            want.add((d, group[0], len(group) + 1))
-    assert got == want
+    docs += [list("0123456789"), list("0123456789"), list("01234x"), ["q"] * 37, []]
+    got = [tuple(r) for r in lines.repeated_runs(documents(spark, ["\n".join(d) for d in docs]), min_lines=m).collect()]
+    assert len(got) == len(set(got)) and set(got) == slow_runs(docs, m)
+
+
+def test_only_true_repeats_are_runs_and_single_lines_go(spark):
+    docs = documents(spark, ["A\nB", "B\nC", "A\nB\nC"])
+    assert sorted(map(tuple, lines.repeated_runs(docs).collect())) == [(0, 0, 2), (1, 0, 2), (2, 0, 2), (2, 1, 2)]
+    assert sorted((r.doc_id, r.text) for r in lines.without_repeated_lines(docs).collect()) == [(0, "A\nB"), (1, "C"), (2, "")]
 
 
 def test_null_ids_repeated_rows_and_empty_tables(spark):
@@ -71,4 +84,6 @@ def test_null_ids_repeated_rows_and_empty_tables(spark):
     docs = documents(spark, [t for _, t in rows], [i for i, _ in rows])
     got = sorted(((r.doc_id or 9, r.text) for r in lines.without_repeated_lines(docs).collect()))
     assert got == [(1, "a\nb"), (1, "a\nb"), (2, "c"), (9, "")]
+    assert sorted(((r.doc_id or 9, r.start, r.length) for r in lines.repeated_runs(docs).collect())) == [(1, 0, 2), (2, 1, 2), (9, 0, 2)]
+    assert lines.repeated_runs(docs.limit(0)).count() == 0
     assert lines.without_repeated_lines(docs.limit(0)).count() == 0
