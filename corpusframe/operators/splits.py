@@ -28,6 +28,26 @@ def write_splits(df: DataFrame, target: str, splits: list[str] | None) -> None:
     df.filter(F.col(SPLIT).isNotNull()).write.partitionBy(SPLIT).parquet(target)
 
 
+def write_sized_splits(df: DataFrame, target: str, target_bytes: int, order: list[str] = ()) -> None:
+    """One parquet folder per split, in files of about ``target_bytes`` of shuffled rows, ordered by ``order`` inside.
+
+    Rows are rebalanced by split: adaptive execution cuts a large split into several tasks and puts
+    small ones together, so a split with nearly all rows gives many files and a tiny one gives one.
+    Rows without a split are left out. The size is a session setting, put back after the write.
+    """
+    conf = df.sparkSession.conf
+    sizes = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)}
+    before = {k: conf.get(k, None) for k in sizes}
+    dealt = df.filter(F.col(SPLIT).isNotNull()).hint("rebalance", F.col(SPLIT)).sortWithinPartitions(SPLIT, *order)
+    try:
+        for k, v in sizes.items():
+            conf.set(k, v)
+        dealt.write.partitionBy(SPLIT).parquet(target)
+    finally:
+        for k, v in before.items():
+            conf.set(k, v) if v is not None else conf.unset(k)
+
+
 def category_domain(df: DataFrame, column: str) -> DataFrame:
     """Distinct values of a category column."""
     return df.select(column).filter(F.col(column).isNotNull()).distinct()
