@@ -1,4 +1,4 @@
-"""Queries over versioned manifests, loads that commit once and media that land late."""
+"""Queries over versioned manifests, loads that commit once, profiles that merge, sized output and media that land late."""
 
 from __future__ import annotations
 
@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusframe.checks import derived as D
 from corpusframe.checks.registry import check
 from corpusframe.operators.ledger import compact_ledger, load_changed, loaded_output
+from corpusframe.operators.profiles import DISTINCT_ERROR, RANK_ERROR, Profiles
 from corpusframe.operators.snapshots import Snapshots
+from corpusframe.operators.splits import write_sized_splits
 from corpusframe.sources.commits import CommitLog
 from corpusframe.streaming.late import FOUND, await_media, write_told
 
@@ -86,6 +88,45 @@ def committed_loads(spark: SparkSession, sf: str) -> DataFrame:
     return loaded_output(log).select(F.col("path").cast("long").alias("key"), "load", "n_lines")
 
 
+@check(
+    "merged_profiles",
+    """WITH l AS (SELECT l_returnflag AS split, 'part' AS "column", CAST(l_partkey AS DOUBLE) AS v, FALSE AS number FROM lineitem
+      UNION ALL SELECT l_returnflag, 'price', CASE WHEN l_linenumber <> 7 THEN CAST(l_extendedprice AS DOUBLE) END, TRUE FROM lineitem)
+    SELECT split, "column", count(*) AS n_rows, count(*) FILTER (v IS NULL) AS n_nulls, min(v) FILTER (number) AS low, max(v) FILTER (number) AS high,
+      TRUE AS distinct_within, TRUE AS median_within FROM l GROUP BY ALL""",
+)
+def merged_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads of ``lineitem`` profiled one by one and united after compaction; the estimates are held against exact counts."""
+    price = F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice").cast("double"))
+    lines = D.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("split"), F.col("l_partkey").alias("part"), price.alias("price"), "l_linenumber")
+    store = Profiles(CommitLog(spark, D.fresh(spark, "profiles")))
+    for load in ("l_linenumber = 1", "l_linenumber between 2 and 3", "l_linenumber > 3"):
+        store.take(lines.filter(load), ["part"], ["price"])
+        store.compact()
+    found = store.merged()
+    medians = found.filter(F.col("column") == "price").select("split", F.col("quantiles")[0].alias("median"))
+    exact = lines.join(F.broadcast(medians), "split").groupBy("split").agg(  # one row for each split
+        F.count_distinct("part").alias("part"), F.count_distinct("price").alias("price"), (F.count_if(F.col("price") <= F.col("median")) / F.count("price")).alias("rank")
+    )
+    both = found.join(exact, "split")
+    distinct = F.when(F.col("column") == "part", F.col("part")).otherwise(F.col("price"))
+    near = F.abs(F.col("n_distinct") - distinct) <= DISTINCT_ERROR * distinct
+    rank = F.col("quantiles").isNull() | (F.abs(F.col("rank") - 0.5) <= 3 * RANK_ERROR)
+    return both.select("split", "column", "n_rows", "n_nulls", "low", "high", near.alias("distinct_within"), rank.alias("median_within"))
+
+
+@check(
+    "split_write_sized",
+    "SELECT doc_id, text, CASE WHEN doc_id % 50 = 0 THEN 'test' ELSE 'train' END AS split FROM documents",
+)
+def split_write_sized(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as a large and a small split, in files of about 64 MB."""
+    split = F.when(F.col("doc_id") % 50 == 0, "test").otherwise("train").alias("split")
+    target = D.fresh(spark, "sized")
+    write_sized_splits(D.table(spark, sf, "documents").select("doc_id", "text", split), target, 64 << 20, ["doc_id"])
+    return spark.read.parquet(target)
+
+
 @check(
     "stream_late_media",
     "SELECT l_orderkey AS key, l_linenumber AS line, o_orderstatus <> 'P' AS found FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
