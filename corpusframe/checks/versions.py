@@ -1,4 +1,4 @@
-"""Queries over versioned manifests, loads that commit once, profiles that merge, sized output and media that land late."""
+"""Queries over versioned manifests, loads that commit once, profiles that merge, category codes, sized output and media that land late."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusframe.checks import derived as D
 from corpusframe.checks.registry import check
+from corpusframe.operators.categories import Categories
 from corpusframe.operators.ledger import compact_ledger, load_changed, loaded_output
 from corpusframe.operators.profiles import DISTINCT_ERROR, RANK_ERROR, Profiles
 from corpusframe.operators.snapshots import Snapshots
@@ -115,6 +116,23 @@ def merged_profiles(spark: SparkSession, sf: str) -> DataFrame:
     return both.select("split", "column", "n_rows", "n_nulls", "low", "high", near.alias("distinct_within"), rank.alias("median_within"))
 
 
+@check(
+    "category_codes",
+    """WITH v AS (SELECT CAST(o_custkey AS VARCHAR) AS value, min(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END) AS load FROM orders GROUP BY o_custkey),
+      c AS (SELECT value, row_number() OVER (ORDER BY load, value) - 1 AS code, load FROM v)
+    SELECT o_orderkey AS key, code, value AS again, load = 1 AS first_load FROM orders JOIN c ON CAST(o_custkey AS VARCHAR) = value""",
+)
+def category_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers of finished orders get codes first, then all; every order is coded and read back."""
+    orders = D.table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), D.text_of("o_custkey").alias("customer"), "o_orderstatus")
+    store = Categories(CommitLog(spark, D.fresh(spark, "categories")))
+    store.learn(orders.filter("o_orderstatus = 'F'"), "customer")
+    known = store.codes(until=1).agg(F.max("code")).first()[0]
+    store.learn(orders, "customer")
+    back = store.decode(store.encode(orders, "customer", "code"), "code", "again")
+    return back.select("key", "code", "again", (F.col("code") <= known).alias("first_load"))
+
+
 @check(
     "split_write_sized",
     "SELECT doc_id, text, CASE WHEN doc_id % 50 = 0 THEN 'test' ELSE 'train' END AS split FROM documents",
