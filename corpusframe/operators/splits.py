@@ -33,6 +33,7 @@ def write_sized_splits(df: DataFrame, target: str, target_bytes: int, order: lis
 
     Rows are rebalanced by split: adaptive execution cuts a large split into several tasks and puts
     small ones together, so a split with nearly all rows gives many files and a tiny one gives one.
+    What one task before the shuffle wrote for a split is not cut further, so a file may exceed the target by that much.
     Rows without a split are left out. The size is a session setting, put back after the write.
     """
     conf = df.sparkSession.conf
