@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 CHUNK_BYTES = 1 << 20
 
@@ -23,6 +24,7 @@ NOT_SPACE = ~byte_class((0x20, 0x20), (0x09, 0x0D))
 ALNUM = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], dtype=np.uint8)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+SHORT = 64  # bytes of a word that are hashed by whole arrays
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -49,9 +51,6 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of some consecutive texts. Word i is data[starts[i]:ends[i]]; text t has words first[t] to first[t + 1]."""
 
-    #: Powers of the factor and of its inverse, kept by a task for its next texts.
-    powers = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
-
     def __init__(self, data: np.ndarray, bounds: np.ndarray, inside: np.ndarray, lower: bool):
         self.data = LOWER[data] if lower else data
         member = inside[self.data]
@@ -72,21 +71,26 @@ class Words:
         return len(self.starts)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word: a polynomial in its bytes, from running sums, then mixed."""
-        size = len(self.data)
-        if not size:
-            return np.zeros(0, np.uint64)
-        power, back = Words.powers
-        if len(power) < size:
-            inverse = np.uint64(pow(int(FACTOR), -1, 1 << 64))
-            length = max(size, CHUNK_BYTES + CHUNK_BYTES // 4)
-            power, back = (np.cumprod(np.full(length, x, np.uint64)) for x in (FACTOR, inverse))
-            if length <= 4 * CHUNK_BYTES:
-                Words.powers = (power, back)
-        power = power[:size]
-        sums = np.zeros(size + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power, out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * back[self.starts])
+        """A 64-bit hash of each word: its length, then eight bytes at a time, mixed after each; XXH64 of words above SHORT bytes.
+
+        Equally long words of up to eight bytes never share a hash, as every step is a bijection.
+        """
+        lengths = self.ends - self.starts
+        padded = np.zeros(len(self.data) + 8, np.uint8)
+        padded[: len(self.data)] = self.data
+        eights = np.ndarray(len(self.data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each byte on
+        out = lengths.astype(np.uint64)
+        active = np.flatnonzero(lengths <= SHORT)
+        for done in range(0, SHORT, 8):
+            active = active[lengths[active] > done]
+            if not len(active):
+                break
+            beyond = np.maximum(8 - (lengths[active] - done), 0).astype(np.uint64)
+            value = eights[self.starts[active] + done] & (~np.uint64(0) >> (np.uint64(8) * beyond))
+            out[active] = mix((out[active] * FACTOR) ^ value)
+        for i in np.flatnonzero(lengths > SHORT):
+            out[i] = xxhash.xxh64_intdigest(self.word(i))
+        return out
 
     def text_of(self) -> np.ndarray:
         """The number of the text that each word is in."""
