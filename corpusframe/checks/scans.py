@@ -10,6 +10,7 @@ from corpusframe.functions.text import decode
 from corpusframe.operators import locate, sidecars
 from corpusframe.operators.mapping import map_columns
 from corpusframe.operators.resolve import PathRule, direct_candidates
+from corpusframe.plans import datasource
 from corpusframe.plans.layouts import glob_rows, json_frame, load, split_glob
 from corpusframe.sources import storage
 from corpusframe.sources.archives import archive_members, fetch_members, member_index
@@ -158,6 +159,25 @@ def text_and_media(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     return D.stored(spark, sf, "pairs", texts.union(media))
 
 
+@check(
+    "corpus_source",
+    "SELECT '/corpus/' || lang || '/' || doc_id || '.txt' AS path, lang AS language, '.txt' AS ext, "
+    "CAST(strlen(text) + 6 AS BIGINT) AS length, ' ' || chr(160) || text || chr(9) || chr(13) || chr(10) AS content FROM documents "
+    "UNION ALL SELECT '/corpus/' || lang || '/' || doc_id || '.webm', lang, '.webm', 0, NULL "
+    "FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
+)
+def corpus_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with their contents, media without, through the data source; each read plans its own parts only."""
+    root, files = text_and_media(spark, sf)
+    target = D.fresh(spark, "source")
+    datasource.prepare(spark, D.spec(root_strategy="glob", file_pattern="**/*"), root, target, files)
+    columns = ["audio_path", "language", "ext", "length"]
+    texts = datasource.read_files(spark, target, [*columns, "content"], extensions=[".txt"])
+    media = datasource.read_files(spark, target, columns, extensions=[".webm"])
+    both = texts.withColumn("content", F.decode("content", "UTF-8")).unionByName(media, allowMissingColumns=True)
+    return both.withColumn("audio_path", D.home(F.col("audio_path"), root)).withColumnRenamed("audio_path", "path")
+
+
 @check(
     "pair_exists",
     "SELECT '/corpus/' || lang || '/' || doc_id || '.txt' AS path FROM documents "

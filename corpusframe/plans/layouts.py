@@ -246,13 +246,13 @@ def glob_rows(manifest: DataFrame, pattern: str, *extra) -> DataFrame:
     )
 
 
-def split_glob(manifest: DataFrame, pattern: str, splits: list[str]) -> DataFrame:
+def split_glob(manifest: DataFrame, pattern: str, splits: list[str], *extra) -> DataFrame:
     """As ``glob_rows`` below each listed split folder; every one must hold a match."""
     listed = F.array(*[F.lit(s) for s in splits])
     above = F.filter(listed, lambda s: F.col("rel_path").startswith(F.concat(s, F.lit("/"))))
     inside = manifest.withColumn("split", F.explode(above))
     inside = inside.withColumn("rel_path", F.expr("substr(rel_path, length(split) + 2)"))
-    rows = glob_rows(inside, pattern, "split")
+    rows = glob_rows(inside, pattern, "split", *extra)
     found = {r["split"] for r in rows.select("split").distinct().collect()}  # ⊆ listed splits
     absent = [s for s in splits if s not in found]
     if absent:
