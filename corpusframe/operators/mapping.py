@@ -164,7 +164,7 @@ def attach_content(resolved: DataFrame, manifest: DataFrame, encoding: str) -> D
     counts = key_counts(resolved, ["path"])
     wanted = manifest.join(counts.select("path"), "path", "left_semi")
     texts = read_contents(wanted).select("path", strip(decode(F.col("content"), encoding)).alias("_text"))
-    joined = lookup(resolved, texts, ["path"], counts)
+    joined = lookup(resolved, texts, ["path"], counts, wide=True)
     unread = F.col("path").isNotNull() & F.col("_text").isNull()
     return joined.withColumns(
         {

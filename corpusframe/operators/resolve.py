@@ -303,18 +303,19 @@ def resolve_values(
     df: DataFrame,
     manifest: DataFrame,
     rule: PathRule,
-    finish: Callable[[DataFrame], DataFrame] = lambda resolved: resolved,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
     counts: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``path``, ``status`` and ``matches`` for the value column ``_value`` of each row.
 
     ``finish`` may change the resolutions before they are joined to the rows; it sees every
-    distinct value once. ``counts`` are the key counts of ``df``, where they are known from a
+    distinct value once, and may make them wide. ``counts`` are the key counts of ``df``, where they are known from a
     simpler plan of the same rows.
     """
     counts = key_counts(df, rule.keys) if counts is None else counts
-    resolved = finish(resolutions(counts, manifest, rule))
-    found = lookup(df, resolved, rule.keys, counts)
+    resolved = resolutions(counts, manifest, rule)
+    resolved = finish(resolved) if finish else resolved
+    found = lookup(df, resolved, rule.keys, counts, wide=finish is not None)
     value = F.col(VALUE)
     status = F.when(value.isNull(), F.lit("null")).when(value == "", F.lit("ok"))
     return found.withColumns({

@@ -23,6 +23,7 @@ def lookup(
     on: list[str],
     counts: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
+    wide: bool = False,
 ) -> DataFrame:
     """Left join ``df`` to ``table``, which has at most one row per key ``on``.
 
@@ -31,6 +32,7 @@ def lookup(
     each ``hot_rows`` rows, without a limit.
     A table that carries the row count of its keys as ``_n`` needs no join to the list.
     Rows with a null key match nothing and are spread too.
+    A ``wide`` table holds file contents, whose size Spark guesses far too low: it is never broadcast.
     """
     counts = key_counts(df, on) if counts is None else counts
     copies = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias(_COPIES)
@@ -51,4 +53,5 @@ def lookup(
         .otherwise(F.coalesce(F.pmod(spread, F.col(_COPIES)), F.lit(0)))
         .cast("int"),
     ).drop(_COPIES)
+    repeated = repeated.hint("merge") if wide else repeated
     return salted.join(repeated, [*on, _SALT], "left").drop(_SALT)
