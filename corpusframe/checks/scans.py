@@ -413,7 +413,8 @@ def member_index_query(spark: SparkSession, sf: str) -> DataFrame:
     labelled = D.table(spark, sf, "labels").select(F.concat(F.lit("/"), D.text_of("doc_id"), F.lit(".txt")).alias("end")).distinct()
     wanted = index.join(labelled, F.concat(F.lit("/"), F.substring_index("member", "/", -1)) == F.col("end"), "left_semi")
     read = fetch_members(wanted).select("archive", "member", decode(F.col("content"), "utf-8").alias("text"))
-    return index.join(read, ["archive", "member"], "left").select("member", "length", "text")
+    # contents are more than Spark guesses, so they are never broadcast
+    return index.join(read.hint("merge"), ["archive", "member"], "left").select("member", "length", "text")
 
 
 @check(
