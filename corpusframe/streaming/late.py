@@ -1,102 +1,90 @@
-"""Index rows whose media land later: rows wait, keyed by path, until the file comes or time is up."""
+"""Index rows whose media land later: rows wait, stored by batch, until the file of their path comes or time is up."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
-from typing import Any
+from dataclasses import dataclass
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, Row, functions as F, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from corpusframe.streaming.ingest import BATCH
 
 PATH, AT, IS_FILE, FOUND = "_path", "_at", "_is_file", "_found"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def _millis(at: datetime) -> int:
-    return int((at if at.tzinfo else at.astimezone(timezone.utc)).timestamp() * 1000)
-
-
-class _Waiting(StatefulProcessor):
-    """State of one path: whether its file has landed, and the rows that wait for it."""
-
-    def __init__(self, fields: list[str], schema: T.StructType, patience: timedelta):
-        self.fields, self.schema = fields, schema
-        self.patience = int(patience.total_seconds() * 1000)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.landed = handle.getValueState("landed", "yes boolean")
-        self.rows = handle.getListState("rows", self.schema)
-
-    def _told(self, row: Any, found: bool) -> Row:
-        return Row(**{f: row[f] for f in self.fields}, **{FOUND: found})
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        came, new = False, []
-        for row in rows:
-            came = came or row[IS_FILE]
-            if not row[IS_FILE]:
-                new.append(row)
-        if came and not self.landed.exists():
-            self.landed.update((True,))
-            for row in list(self.rows.get()):
-                yield self._told(dict(zip(self.schema.names, row)), True)
-            self.rows.clear()
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-        if self.landed.exists():
-            for row in new:
-                yield self._told(row, True)
-        elif new:
-            self.rows.appendList([tuple(row[c] for c in self.schema.names) for row in new])
-            for due in {_millis(row[AT]) + self.patience for row in new}:
-                self.handle.registerTimer(due)
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        now, kept = expiredTimerInfo.getExpiryTimeInMs(), []
-        for values in list(self.rows.get()):
-            row = dict(zip(self.schema.names, values))
-            if _millis(row[AT]) + self.patience <= now:
-                yield self._told(row, False)
-            else:
-                kept.append(tuple(values))
-        if kept:
-            self.rows.put(kept)
-        else:
-            self.rows.clear()
-
-
-def await_media(rows: DataFrame, files: DataFrame, path: str, at: str, patience: timedelta, lateness: str = "0 seconds") -> DataFrame:
+
+
+@dataclass(frozen=True)
+class Awaited:
+    """Rows and landed files as one stream, and how long a row waits; ``write_told`` runs it."""
+
+    both: DataFrame
+    fields: list[str]
+    path: str
+    at: str
+    patience: timedelta
+    lateness: str
+
+    def clock(self, batch: DataFrame, before: int | None) -> int | None:
+        """Event time in microseconds, behind the latest time seen by ``lateness``; it never goes back."""
+        latest = F.max(F.unix_micros(F.col(AT) - F.expr(f"interval '{self.lateness}'")))
+        seen = batch.agg(latest).first()[0]
+        return max((t for t in (seen, before) if t is not None), default=None)
+
+    def judged(self, waiting: DataFrame, landed: DataFrame, clock: int | None) -> DataFrame:
+        """``waiting`` with ``_found``: true, false, or null where the row has to wait on."""
+        there = landed.select(F.col("path").alias(PATH), F.lit(True).alias("_there")).distinct()
+        both = waiting.join(there, F.col(self.path) == F.col(PATH), "left")
+        due = F.unix_micros(F.col(self.at).cast("timestamp")) + self.patience // timedelta(microseconds=1)
+        unplaced = F.col(self.path).isNull() | F.col(self.at).isNull()
+        found = F.when(unplaced, False).when(F.col("_there"), True).when(due <= F.lit(clock).cast("long"), False)
+        return both.select(*self.fields, found.alias(FOUND))
+
+
+def await_media(rows: DataFrame, files: DataFrame, path: str, at: str, patience: timedelta, lateness: str = "0 seconds") -> Awaited:
     """``rows`` once each with ``_found``: true when the file of column ``path`` has landed, before or after the row,
     false when event time has passed the row's own time by ``patience`` without it.
 
     Both are streams; ``at`` is the event time of a row, and of a file in ``files`` (path, at). Rows that come with an
-    equal path and time are told one by one. A row without a path or time is told at once as not found. A file
-    that lands when its row was given up counts for later rows. Landed paths stay in the state, as in a manifest;
-    waiting rows stay until told. Times are compared in the session's zone.
+    equal path and time are told one by one. A row without a path or time is told at once as not found, a row that
+    comes after its time is up too, unless its file is there. A file that lands when its row was given up counts
+    for later rows. Landed paths stay known, as in a manifest; waiting rows stay until told. Times are compared
+    in the session's zone.
     """
-    fields = rows.columns
-    known = rows.filter(F.col(path).isNotNull() & F.col(at).isNotNull())
-    lost = rows.filter(F.col(path).isNull() | F.col(at).isNull()).withColumn(FOUND, F.lit(False))
-    mine = known.select("*", F.col(path).alias(PATH), F.col(at).cast("timestamp").alias(AT), F.lit(False).alias(IS_FILE))
+    mine = rows.select("*", F.col(path).alias(PATH), F.when(F.col(path).isNotNull(), F.col(at).cast("timestamp")).alias(AT), F.lit(False).alias(IS_FILE))
     theirs = files.filter("path is not null and at is not null").select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema], F.col("path").alias(PATH), F.col("at").cast("timestamp").alias(AT), F.lit(True).alias(IS_FILE)
     )
-    state = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema] + [T.StructField(AT, T.TimestampType())])
-    out = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema] + [T.StructField(FOUND, T.BooleanType())])
-    both = mine.union(theirs).withWatermark(AT, lateness)
-    told = both.groupBy(PATH).transformWithState(_Waiting(fields, state, patience), out, "Append", "EventTime")
-    return told.union(lost)
-
-
-def write_told(told: DataFrame, target: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Write told rows as Parquet, each once over restarts with the same checkpoint; the state is kept in RocksDB."""
-    conf = told.sparkSession.conf
-    before = conf.get(_PROVIDER, None)
-    conf.set(_PROVIDER, _ROCKS)  # a query takes the setting when it starts
-    try:
-        return told.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
-    finally:
-        conf.set(_PROVIDER, before) if before else conf.unset(_PROVIDER)
+    return Awaited(mine.union(theirs), rows.columns, path, at, patience, lateness)
+
+
+def write_told(awaited: Awaited, target: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Write told rows as Parquet, each once over restarts with the same checkpoint.
+
+    Every micro-batch is one join of the new and the waiting rows with all landed paths. It overwrites its own
+    ``batch_id`` folders, in ``target`` and below the checkpoint, so a batch that is retried replaces what it left.
+    """
+    schemas = {"rows": awaited.both.select(*awaited.fields, F.lit(True).alias(FOUND)).schema, "landed": "path string", "clock": "at long"}
+
+    def place(kind: str, batch_id: int) -> str:
+        return f"{checkpoint}/late/{kind}/{BATCH}={batch_id}"
+
+    def stored(batch: DataFrame, kind: str, *batch_ids: int) -> DataFrame:
+        return batch.sparkSession.read.schema(schemas[kind]).parquet(*[place(kind, n) for n in batch_ids])
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        def store(df: DataFrame, kind: str) -> None:
+            df.write.mode("overwrite").parquet(place(kind, batch_id))
+
+        before = stored(batch, "clock", batch_id - 1).first() if batch_id else None
+        clock = awaited.clock(batch, before and before["at"])
+        store(batch.sparkSession.range(1).select(F.lit(clock).cast("long").alias("at")), "clock")
+        store(batch.filter(IS_FILE).select(F.col(PATH).alias("path")).distinct(), "landed")
+        waiting = batch.filter(~F.col(IS_FILE)).select(*awaited.fields)
+        if batch_id:
+            waiting = waiting.union(stored(batch, "rows", batch_id - 1).filter(F.col(FOUND).isNull()).select(*awaited.fields))
+        store(awaited.judged(waiting, stored(batch, "landed", *range(batch_id + 1)), clock), "rows")
+        told = stored(batch, "rows", batch_id).filter(F.col(FOUND).isNotNull())
+        told.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+
+    stream = awaited.both.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    return stream.trigger(**(trigger or {"availableNow": True})).start()

@@ -33,3 +33,16 @@ def test_each_row_is_told_once_over_restarts(spark, tmp_path):
     assert told[3] == sorted(told[2] + [(8, True), (9, True)])
     notes = {r.n: r.note for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert notes[2] == "x" and notes[3] == "y" and notes[1] is None
+
+
+def test_waiting_rows_need_no_python_state(spark, tmp_path):
+    """Rows wait as stored tables that batches join, also those that come after their time is up."""
+    for n, (rows, files) in enumerate([([(1, "a", minutes(0), None), (2, "b", minutes(100), None)], []), ([(3, "c", minutes(5), None), (4, "b", minutes(5), None)], [("b", minutes(101))])]):
+        spark.createDataFrame(rows, ROWS).write.mode("append").parquet(str(tmp_path / "rows"))
+        spark.createDataFrame(files, FILES).write.mode("append").parquet(str(tmp_path / "files"))
+        both = [spark.readStream.schema(s).parquet(str(tmp_path / d)) for s, d in ((ROWS, "rows"), (FILES, "files"))]
+        query = write_told(await_media(*both, "path", "at", timedelta(hours=1)), str(tmp_path / "out"), str(tmp_path / "state"))
+        query.awaitTermination()
+        assert not query.lastProgress.stateOperators
+    told = sorted((r.n, r._found) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert told == [(1, False), (2, True), (3, False), (4, True)]
