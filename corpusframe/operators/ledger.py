@@ -31,7 +31,8 @@ def landed_state(manifest: DataFrame) -> DataFrame:
         F.regexp_replace("path", r"\.checksum$", "").alias("name"),
         strip(decode(F.col("content"), "utf-8")).alias("stored"),
     )
-    return states.join(noted, "name", "left")
+    # texts are more than Spark guesses, so they are never broadcast
+    return states.join(noted.hint("merge"), "name", "left")
 
 
 def resume_state() -> Column:
