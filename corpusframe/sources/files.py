@@ -167,7 +167,7 @@ def file_digests(files: DataFrame) -> DataFrame:
 def _write_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            storage.write_binary(path, bytes(content))
+            storage.write_again(path, bytes(content))
         yield pd.DataFrame({"path": batch["path"]})
 
 

@@ -51,6 +51,24 @@ def write_binary(path: str, content: bytes) -> None:
     os.replace(part, path)
 
 
+def write_again(path: str, content: bytes) -> None:
+    """Write a whole small file that nobody reads before the job has ended: one step in its folder, not two.
+
+    The file is never emptied, so another attempt that writes the same bytes changes nothing for readers.
+    """
+    if _remote(path) is not None:
+        write_binary(path, content)
+        return
+    try:
+        handle = os.open(path, os.O_WRONLY | os.O_CREAT, 0o666)
+    except FileNotFoundError:
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        handle = os.open(path, os.O_WRONLY | os.O_CREAT, 0o666)
+    with open(handle, "wb") as out:
+        out.write(content)
+        out.truncate()
+
+
 def is_file(path: str) -> bool:
     remote = _remote(path)
     if remote is None:
