@@ -66,8 +66,11 @@ def map_columns(
 
     staged: dict[str, Column] = {}
     problems: list[Column] = []
+    first = _first_alike(planned)
     for i, (name, column, position) in enumerate(planned):
         cell = frame.cell(position)
+        if first[i] != i:
+            continue
         if column.is_path:
             staged[f"_value_{i}"] = _lookup_value(frame, column, cell)
             for j, root in enumerate(spec.media_roots):
@@ -89,12 +92,25 @@ def map_columns(
     staged_rows = df
     for i, (name, column, _) in enumerate(planned):
         if column.is_path:
-            df = _resolve_column(df, staged_rows, i, column, spec, corpus)
+            if first[i] == i:
+                df = _resolve_column(df, staged_rows, i, column, spec, corpus)
+            else:
+                df = df.withColumns({f"{c}_{i}": F.col(f"{c}_{first[i]}") for c in ("_value", "_out", "_status", "_matches")})
             bad = F.col(f"_status_{i}").isin("missing", "ambiguous", "unreadable")
             problems.append(F.when(bad, F.concat(F.lit(f"{name}:"), F.col(f"_status_{i}"))))
     return _finish(df, planned, tags, problems, corpus.on_error)
 
 
+def _first_alike(planned) -> list[int]:
+    """For each column the first one that looks up the same cell by the same rule: such columns are resolved once."""
+    seen: dict[tuple, int] = {}
+    first = []
+    for i, (_, column, position) in enumerate(planned):
+        rule = (position, column.dtype, column.path_template, column.path_match_strategy, column.file_extension)
+        first.append(seen.setdefault(rule, i) if column.is_path else i)
+    return first
+
+
 def _finish(df, planned, tags, problems, on_error) -> DataFrame:
     outputs = [F.col(f"_out_{i}").alias(name) for i, (name, _, _) in enumerate(planned)]
     if not problems:

@@ -1,6 +1,7 @@
 """File contents stay out of broadcasts; streams of many small files run in few tasks."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 
@@ -37,3 +38,32 @@ def test_small_landed_files_share_tasks(spark, tmp_path):
         tasks += [s.numTasks for i in info.stageIds if (s := tracker.getStageInfo(i))]
     assert tasks and max(tasks) < 30
     assert sorted(r.n for r in loaded_so_far(spark, str(tmp_path / "out")).collect()) == list(range(120))
+
+
+def test_alike_path_columns_are_resolved_once(spark):
+    from corpusframe.checks import derived as D
+    from corpusframe.operators.mapping import map_columns
+
+    def joins(n, **more):
+        columns = {f"p{i}": D.column("c", "file_path", file_extension="wav") for i in range(n)}
+        media = D.manifest(spark.range(3), D.placed("", "a", F.col("id").cast("string"), ".wav"))
+        values = spark.createDataFrame([("a1",), ("a9",), (None,)], "c string")
+        mapped = map_columns(D.frame(values), D.spec(columns=columns | more), D.corpus(media))
+        return mapped, mapped._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+    one, four = joins(1), joins(4)
+    assert four[1] == one[1]
+    assert sorted(map(str, four[0].collect())) == sorted(str(r) for r in one[0].selectExpr("p0", "p0 p1", "p0 p2", "p0 p3").collect())
+    other = {"q": D.column("c", "file_path", file_extension="mp3")}
+    assert joins(1, **other)[1] > one[1]
+
+
+def test_sensitive_words_at_any_place_and_case(spark):
+    from corpusframe.operators.json_records import redact_json
+
+    texts = ['{"TuRL":"a"}', '{"uttoKen":1}', '{"x\\"tutoken":[1]}', '{"tut":"url","uurl" : {"a":"b"}}', '{"turn":"t\\\\","to ken":2}']
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(redact_json(F.col("t")).alias("r"))
+    gone = '"***REDACTED***"'
+    assert [r.r for r in df.collect()] == [
+        '{"TuRL":%s}' % gone, '{"uttoKen":%s}' % gone, '{"x\\"tutoken":%s}' % gone, '{"tut":"url","uurl" : %s}' % gone, '{"turn":"t\\\\","to ken":2}',
+    ]
