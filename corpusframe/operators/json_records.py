@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusframe.functions.text import bind
+
 # What marks a key as sensitive, and what its value becomes.
 SENSITIVE = ("url", "token")
 REDACTED = "***REDACTED***"
@@ -16,8 +18,10 @@ _STRING = rf'"{_INNER}"'
 
 def _sensitive_key() -> str:
     word = rf'(?iu:{"|".join(SENSITIVE)})'
+    starts = "".join(sorted({c for w in SENSITIVE for c in (w[0].lower(), w[0].upper())}))
     # an opening quote never follows a backslash; starting at escaped ones would reread long texts
-    return rf'(?<!\\)"(?:(?!{word})(?:[^"\\]|\\.))*+{word}{_INNER}"\s*+:\s*+'
+    # only where a word may start is it looked for, so runs of other letters are passed at once
+    return rf'"(?<!\\")(?:[^"\\{starts}]++|\\.|(?!{word})[{starts}])*+{word}{_INNER}"\s*+:\s*+'
 
 
 def _value(nesting: int) -> str:
@@ -41,7 +45,8 @@ def redact_json(text: Column) -> Column:
     key = _sensitive_key()
     masked = F.regexp_replace(plain, f"({key}){_value(_NESTING)}", f'$1"{REDACTED}"')
     left = F.raise_error(F.lit("sensitive value nested too deeply to redact")).cast("string")
-    safe = F.when(masked.rlike(key + r"[\[{]"), left).otherwise(masked)
+    # bound, as Spark would mask once for the check and once more for the result
+    safe = bind(masked, lambda m: F.when(m.rlike(key + r"[\[{]"), left).otherwise(m))
     return F.when(document.isNotNull(), safe)
 
 
