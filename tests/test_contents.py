@@ -67,3 +67,13 @@ def test_sensitive_words_at_any_place_and_case(spark):
     assert [r.r for r in df.collect()] == [
         '{"TuRL":%s}' % gone, '{"uttoKen":%s}' % gone, '{"x\\"tutoken":%s}' % gone, '{"tut":"url","uurl" : %s}' % gone, '{"turn":"t\\\\","to ken":2}',
     ]
+
+
+def test_a_retry_mends_a_file_and_leaves_nothing_beside_it(tmp_path):
+    from corpusframe.sources import storage
+
+    path = tmp_path / "a" / "b.txt"
+    for content in (b"a longer text", b"short", b""):
+        storage.write_again(str(path), content)
+        assert path.read_bytes() == content
+    assert [p.name for p in path.parent.iterdir()] == ["b.txt"]
