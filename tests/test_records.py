@@ -9,7 +9,7 @@ from corpusframe import LoadSpec, manifest_of
 from corpusframe.functions import paths as P, sizes as S, text as X
 from corpusframe.operators import ledger as L, quality as Q
 from corpusframe.operators.json_records import redact_json, tolerant_records
-from corpusframe.operators.mapping import Corpus
+from corpusframe.operators.mapping import Corpus, map_columns
 from corpusframe.operators.splits import split_views, write_splits
 from corpusframe.streaming.ingest import loaded_so_far, stream_index, stream_sidecars
 
@@ -170,6 +170,28 @@ def test_streams_take_each_file_once(spark, tree, tmp_path_factory):
         {"p": "/c/x.wav", "t": "1", "o": None}, {"p": "/c/x.wav", "t": "2", "o": None}]
 
 
+def test_stream_reads_landed_files_once_and_passes_over_a_written_table(spark, tree, tmp_path_factory, monkeypatch):
+    from corpusframe.streaming import ingest
+
+    out = str(tmp_path_factory.mktemp("out"))
+    root = tree({"in/a b.tsv": "path\tn\nx\t1\n", "in/c+d.tsv": "path\tn\ny\t2\n"})
+    columns = {"p": {"source_column": "path", "dtype": "file_path", "file_extension": "wav"}, "n": {"source_column": "n", "dtype": "int"}}
+    spec = LoadSpec.from_dict({"dataset_id": "d", "task": "OTH", "columns": columns, "format": "tsv"})
+    corpus = Corpus("/c", "/c", manifest_of(spark.createDataFrame([("/c/x.wav",)], "path string"), "/c"))
+    plans, inputs = [], []
+
+    def seen(frame, spec, corpus):
+        inputs.append(sorted({f.rsplit("/", 2)[0] for f in frame.rows.inputFiles()}))
+        plans.append(frame.rows._jdf.queryExecution().executedPlan().toString())
+        return map_columns(frame, spec, corpus)
+
+    monkeypatch.setattr(ingest, "map_columns", seen)
+    stream_index(spark, f"{root}/in", spec, corpus, f"{out}/i", f"{out}/i-state", files_per_batch=1).awaitTermination()
+    assert rows(loaded_so_far(spark, f"{out}/i"), "n") == [{"p": "/c/x.wav", "n": 1}, {"p": "/c/y", "n": 2}]
+    assert len(plans) == 2 and all("parquet" in p and "csv" not in p.lower() and "InMemoryTableScan" not in p for p in plans)
+    assert inputs[0] and inputs[0] == inputs[1]  # one folder, which the next batch replaces
+
+
 def test_scalar_expressions(spark):
     one = spark.range(1)
     value = lambda column: one.select(column).first()[0]
