@@ -4,8 +4,10 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from corpusframe import manifest_of
+from corpusframe.functions import paths as P
 from corpusframe.operators import skew
 from corpusframe.operators.resolve import (
     PathRule,
@@ -158,3 +160,31 @@ def test_scan_reads_only_needed_columns(spark):
     df = QUERIES["resolve_direct"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "l_extendedprice" not in plan and "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in plan
+
+
+def test_plain_text_is_folded_by_code_that_the_jvm_compiles(spark):
+    import re
+
+    found = resolve_values(
+        spark.createDataFrame([("A",)], "_value string"),
+        manifest_of(spark.createDataFrame([("/c/x/a.wav",)], "path string"), "/c"), PathRule("/c", "/c", ("/c",), "exact", "wav"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        text = found.select("*")._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(s) for s in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000  # beyond that the JVM only interprets a method
+
+
+def test_collapse_equals_walking(spark):
+    cases = ["/a/../b", "/a/b/../../c", "/a/b/c/../../../d", "/../a", "/a/..", "/a/../..", "/a//../b", "/a/..b/c", "/a/.../b", "a/../b", "/a/b/../c/../d/../e",
+             "/..", "/a/../../b/../../c/./..", "s3://k/x/../y", "/a/x..", "../x/../y"]
+    def walk(path):
+        kept = []
+        for part in path.split("/"):
+            kept = kept[: max(len(kept) - 1, 1)] if part == ".." else [*kept, part]
+        return "/".join(kept)
+    df = spark.createDataFrame([(c,) for c in cases], "path string")
+    assert {r[0]: r[1] for r in df.select("path", P.collapse(F.col("path"))).collect()} == {c: walk(c) for c in cases}
