@@ -22,6 +22,7 @@ from corpusframe.sources.files import has_extension, visible
 # form Spark adds a size filter and pushes the whole array expression down to the scan.
 LISTED = 5
 ANCHOR_SIZES = (8, 4, 2, 1)
+FOLDER_BUCKETS = 1 << 16  # the list of folders that is broadcast has no more rows than this
 
 VALUE, ROOTS = "_value", "_roots"
 _CLEAN, _BASES, _LONGER, _ABSOLUTE = "_clean", "_bases", "_longer", "_absolute"
@@ -71,6 +72,14 @@ class PathRule:
         fallback = dict.fromkeys([self.dataset_root, self.extract_root])
         return F.concat(F.col(ROOTS), F.array(*[F.lit(r) for r in fallback]))
 
+    def real_bases_column(self) -> Column:
+        """The same folders; those that are one for all values come without '..' parts."""
+        if self.row_roots:
+            return self.bases_column()
+        fixed = dict.fromkeys(self.roots or (self.dataset_root,))
+        fallback = dict.fromkeys([self.dataset_root, self.extract_root])
+        return F.array(*[F.lit(P.real(r) if "/.." in r else r) for r in (*fixed, *fallback)])
+
 
 def _prepared(values: DataFrame, rule: PathRule) -> DataFrame:
     """Parts of the candidates as columns of their own, so each is computed once per value."""
@@ -119,11 +128,68 @@ def candidate_at(values: DataFrame, rule: PathRule, order: str) -> DataFrame:
     return staged.select(*values.columns, _placed(F.col("_base"), F.col("_rel")).alias("path"))
 
 
-def resolve_direct(values: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
-    """(keys, ord, _n): which candidate of each distinct value is the first to exist, if any."""
+def _never_null(path: Column) -> Column:
+    """A join on what is made from this column needs no filter for nulls, for which Spark would compute it once more."""
+    return F.coalesce(path, F.lit(""))
+
+
+def _bare(path: Column, extension: str | None) -> dict[str, Column]:
+    """``_bare``: the path without the extension that is tried; ``_has``: whether it ends in it."""
+    if extension is None:
+        return {"_bare": path, "_has": F.lit(False)}
+    has = F.endswith(path, F.lit(extension))
+    return {"_bare": F.when(has, F.left(path, F.length(path) - F.lit(len(extension)))).otherwise(path), "_has": has}
+
+
+def _folder_bucket(path: Column) -> Column:
+    """A number below ``FOLDER_BUCKETS`` for the folder of a path."""
+    folder = F.left(path, F.length(path) - F.length(P.basename(path)))
+    return F.pmod(F.xxhash64(folder), F.lit(FOLDER_BUCKETS)).alias("_bucket")
+
+
+def _asked(values: DataFrame, rule: PathRule) -> DataFrame:
+    """The candidates of ``direct_candidates``, where one row stands for both spellings under a base.
+
+    (values, _n_bases, _pos, _spelling, _both, path): with ``_both`` the path is the value itself, and
+    stands for the path with the extension added too.
+    """
+    clean, longer = F.col(_CLEAN), F.col(_LONGER)
+    extension = P.clean_extension(rule.extension)
+    staged = _prepared(values, rule).withColumn("_real", rule.real_bases_column())
+    both = F.lit(False)
+    if extension is not None and "/" not in extension:
+        # a last part '.' or '..' changes when something is added; one that ends in the extension is bare already
+        both = longer.isNotNull() & ~F.endswith(clean, F.lit(extension)) & ~F.endswith(clean, F.lit("."))
+    own, other = (F.struct(F.lit(i).alias("spelling"), c.alias("rel")) for i, c in enumerate((clean, longer)))
+    spellings = F.when(longer.isNull() | F.col("_both"), F.array(own)).otherwise(F.array(own, other))
+    bases = F.when(F.col(_ABSOLUTE), F.slice("_real", 1, 1)).otherwise(F.col("_real"))
+    based = staged.withColumn("_both", both).select(
+        *values.columns, _ABSOLUTE, "_both", F.size("_real").alias("_n_bases"), bases.alias("_used"), F.explode_outer(spellings).alias("_s")
+    ).select(*values.columns, _ABSOLUTE, "_both", "_n_bases", "_s", F.posexplode_outer("_used").alias("_pos", "_base"))
+    path = _placed(F.col("_base"), F.col("_s.rel")).alias("path")
+    spelled = based.select(*values.columns, "_both", "_n_bases", "_pos", F.col("_s.spelling").alias("_spelling"), path)
     # files are listed under their real paths; a candidate keeps the way it is spelled
-    candidates = direct_candidates(values, rule).withColumn("path", P.collapse(F.col("path")))
-    hits = candidates.join(manifest.select("path"), "path", "left_semi")
+    return spelled.withColumn("path", _never_null(P.collapse(F.col("path"))))
+
+
+def resolve_direct(values: DataFrame, manifest: DataFrame, rule: PathRule) -> DataFrame:
+    """(keys, ord, _n): which candidate of each distinct value is the first to exist, if any.
+
+    Candidates meet files by the path without the extension, so both spellings of a value are one row. Those in
+    folders without a file go before the shuffle: the list of folders is broadcast as numbers of hash buckets,
+    which are few however many folders there are.
+    """
+    extension = P.clean_extension(rule.extension)
+    path = F.col("path")
+    folders = manifest.select(_folder_bucket(path)).distinct()
+    asked = _asked(values, rule).withColumn("_bucket", _folder_bucket(path))
+    asked = asked.join(F.broadcast(folders), "_bucket", "left_semi").drop("_bucket")
+    asked = asked.withColumns(_bare(path, extension)).drop("path")
+    files = manifest.select(_never_null(path).alias("path")).withColumns(_bare(path, extension))
+    files = files.select("_bare", F.col("_has").alias("_file_has"))
+    met = asked.join(files, "_bare").filter(F.col("_both") | (F.col("_has") == F.col("_file_has")))
+    spelling = F.when(F.col("_both"), F.col("_file_has").cast("int")).otherwise(F.col("_spelling"))
+    hits = met.select(*rule.keys, "_n", (spelling * F.col("_n_bases") + F.col("_pos")).alias("_ord"))
     return hits.groupBy(*rule.keys).agg(F.min("_ord").alias("_ord"), F.max("_n").alias("_n"))
 
 

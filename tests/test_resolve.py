@@ -13,6 +13,7 @@ from corpusframe.operators.resolve import (
     PathRule,
     direct_candidates,
     resolve_contains,
+    resolve_direct,
     resolve_exact,
     resolve_values,
 )
@@ -162,6 +163,66 @@ def test_scan_reads_only_needed_columns(spark):
     assert "l_extendedprice" not in plan and "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in plan
 
 
+ODD_VALUES = [
+    "a", "a.wav", "b", "x/b", "../m/a", "../m/../m/a.wav", "../../../up", "a.", "a/.", ".", "..", "x/..", ".wav", "x/.wav", "/c/m/a", "/c/m/a.wav",
+    "/c/m/x/../a", "dot.ted", "dot.ted.wav", "gone", "x/gone.wav", "só", "s3://k/a", "s3://k/../a", "m", "deep/1/2/../../a", "deep/1/2/3/../../../a",
+]
+ODD_FILES = [
+    "/c/m/a.wav", "/c/m/b", "/c/m/b.wav", "/c/m/x/b.wav", "/up.wav", "/c/m/.wav", "/c/m/x/.wav.wav", "/c/d/a", "/c/m/dot.ted.wav", "/c/m/dot.ted",
+    "/c/a..wav", "/c/m/..wav", "/c/m/só.wav", "s3://k/a.wav", "/c/m/deep/a.wav", "/c.wav", "/c/m.wav", "/c/m/x/...wav",
+]
+
+
+@pytest.mark.parametrize("extension", [None, "wav", ".", "ted.wav"])
+@pytest.mark.parametrize("roots", [("/c/m",), ("/c/none/../m", "/c/m/x"), ("s3://k", "/c")])
+def test_direct_lookup_equals_probing_each_candidate(spark, extension, roots):
+    rule = PathRule("/c/d", "/c", roots, "direct", extension)
+    counted = rule.with_roots(spark.createDataFrame([(v, 1) for v in ODD_VALUES], "_value string, _n long"))
+    files = spark.createDataFrame([(f,) for f in ODD_FILES * 2], "path string")
+    expected = {}
+    for r in direct_candidates(counted, rule).orderBy("_ord").collect():
+        walked = []
+        for part in r["path"].split("/"):
+            walked = walked[: max(len(walked) - 1, 1)] if part == ".." and "/.." in r["path"] else [*walked, part]
+        if "/".join(walked) in ODD_FILES:
+            expected.setdefault(r["_value"], r["_ord"])
+    found = {r["_value"]: r["_ord"] for r in resolve_direct(counted, files, rule).collect()}
+    assert found == expected and len(expected) >= 3
+
+
+def shuffled_rows(df):
+    """Rows written by the shuffles of the executed plan."""
+    def walk(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "ShuffleExchangeExec":
+            yield plan.metrics().apply("shuffleRecordsWritten").value()
+        if name == "AdaptiveSparkPlanExec":
+            yield from walk(plan.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            yield from walk(plan.plan())
+        children = plan.children()
+        for i in range(children.size()):
+            yield from walk(children.apply(i))
+
+    return list(walk(df._jdf.queryExecution().executedPlan()))
+
+
+def test_only_candidates_in_folders_with_files_are_shuffled_and_spellings_share_a_row(spark):
+    n = 500
+    values = spark.range(n).selectExpr("CAST(id AS STRING) AS _value", "1L AS _n")
+    files = spark.range(n).selectExpr("concat('/c/x/', id, '.wav') AS path")
+    rule = PathRule("/c/d", "/c", ("/c/none", "/c/x", "/c/y"), "direct", "wav")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hits = resolve_direct(rule.with_roots(values), files, rule)
+        assert {r["_ord"] for r in hits.collect()} == {6}  # the second of five bases, with the extension
+        written = shuffled_rows(hits)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert max(written) <= n and sum(written) <= 3 * n + 100  # values, files, hits and the list of folders
+
+
 def test_plain_text_is_folded_by_code_that_the_jvm_compiles(spark):
     import re
 
