@@ -16,7 +16,7 @@ import math
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusframe.llm.registry import register, table
 from corpusframe.llm.tokens import NOT_SPACE, Words, chunked, sequences, signed
@@ -222,8 +222,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     frame = frame.withColumn("block", F.pmod(F.xxhash64("order", "digest"), F.lit(blocks)).cast("int"))
 
     phrases = _phrase_rows(frame, window, phrase)
-    recurring = phrases.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
-    routed = phrases.join(recurring, "h", "left_semi").select("block", "h", F.lit(False).alias("copy"), F.lit(0).cast("long").alias("first"))
+    same = Window.partitionBy("h")  # counted where the rows are, so they are computed and shuffled once
+    routed = phrases.withColumn("n", F.sum("n").over(same)).filter("n > 1").select("block", "h", F.lit(False).alias("copy"), F.lit(0).cast("long").alias("first"))
     by_text = frame.select("digest", "order", F.sha2("text", 256).alias("sha"), "block")
     groups = by_text.groupBy("digest").agg(F.min("order").alias("first"), F.count(F.lit(1)).alias("n"), F.min("sha").alias("a"), F.max("sha").alias("b"))
     groups = groups.filter("n > 1 and a = b").select("digest", "first")
@@ -233,8 +233,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     open_ = marked.filter("text is not null")
     rows = _window_rows(open_, window)
-    first = rows.groupBy("h").agg(F.min("order").alias("earliest"), F.max("order").alias("latest")).filter("earliest < latest")
-    later = rows.join(first, "h").filter(F.col("earliest") < F.col("order")).select("block", "h", F.col("earliest").alias("order"))
+    later = rows.withColumn("earliest", F.min("order").over(same)).filter(F.col("earliest") < F.col("order")).select("block", "h", F.col("earliest").alias("order"))
     cut = open_.groupBy("block").cogroup(later.groupBy("block")).applyInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
     done = marked.filter("text is null").select("doc_id", "n_words", "n_removed", "kept_sha256", F.lit(None).cast("string").alias("kept"))
     return done.union(cut)

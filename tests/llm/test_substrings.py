@@ -75,3 +75,12 @@ def test_null_and_equal_ids(spark):
 
 def test_empty_table(spark):
     assert substrings.remove_repeats(documents(spark, ["a"]).limit(0)).count() == 0
+
+
+def test_rows_are_made_and_shuffled_once(spark, monkeypatch):
+    kept, written = [], substrings.written
+    monkeypatch.setattr(substrings, "written", lambda df, label: kept.append(df) or written(df, label))
+    kept.append(substrings.remove_repeats(documents(spark, sample())))
+    for df in kept:  # phrases, then windows
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert len(kept) == 2 and plan.count("MapInArrow") == 1
