@@ -3,6 +3,10 @@
 A vector is turned by three rounds of random signs and a fast Hadamard transform; its code is the
 signed axis nearest to the result. Several codes make a bucket, several tables make the index. A query
 looks into the buckets nearest to it, and every vector found there is compared exactly.
+
+The index is dealt out by vector, not by bucket: each slice of the vectors has all tables over its own, every
+query is asked of every slice, and the best of a slice are merged. So a vector is shuffled once, whatever the
+number of tables, and a query once a slice, whatever the number of probes.
 """
 
 from __future__ import annotations
@@ -23,19 +27,33 @@ FEW_TABLES, MORE_TABLES = 8, 12  # with one code a bucket, and with several
 LEAST_PROBES, MORE_PROBES = 10, 384
 TARGET = 0.95  # least chance that a query meets its last wanted neighbour, if vectors are evenly spread
 PAIRS = 400  # simulated pairs of a query and that neighbour
-SLICE = 20_000  # rows of the index in one task
-PART = 4_096  # vectors of a bucket compared at once; a larger bucket is dealt out
+SLICE = 250_000  # vectors of the index in one task
+VALUES = 16 << 20  # numbers in them
+LEAST = 1_000  # vectors of a slice below which a free core doesn't get one of its own
+PART = 4_096  # vectors of a bucket compared at once
+PROBES, QUERIES = 4 << 20, 16_384  # probes of a table, and queries, looked up at once
+SCORES, PENDING = 2 << 20, 1 << 20  # inner products taken at once, and those that wait to be merged
+GATHERED = 1 << 18  # numbers of vectors of small buckets compared together
+ROWS = 1_024  # vectors turned at once
+
+
+def _hadamard_of_columns(x: np.ndarray) -> np.ndarray:
+    """The transform of each column, in place; steps run along the rows of x, which are long."""
+    width, step, kept = len(x), 1, np.empty_like(x[: len(x) // 2])
+    while step < width:
+        pairs = x.reshape(width // (2 * step), 2, step, -1)
+        above = kept.reshape(width // (2 * step), step, -1)
+        np.subtract(pairs[:, 0], pairs[:, 1], out=above)
+        pairs[:, 0] += pairs[:, 1]
+        pairs[:, 1] = above
+        step *= 2
+    x /= math.sqrt(width)
+    return x
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
     """The fast Walsh-Hadamard transform of each row, scaled to keep lengths."""
-    n, width = x.shape
-    step = 1
-    while step < width:
-        x = x.reshape(n, width // (2 * step), 2, step)
-        x = np.stack([x[:, :, 0] + x[:, :, 1], x[:, :, 0] - x[:, :, 1]], axis=2)
-        step *= 2
-    return x.reshape(n, width) / math.sqrt(width)
+    return np.ascontiguousarray(_hadamard_of_columns(np.array(x.T, float, order="C")).T)
 
 
 def last_similarity(count: int, dimensions: int, nearest: int = NEAREST) -> float:
@@ -95,11 +113,12 @@ class Tables:
         return cls(width, codes, tables, min(axes**codes, max(LEAST_PROBES if codes == 1 else MORE_PROBES, probes)))
 
     def turned(self, x: np.ndarray, t: int, c: int) -> np.ndarray:
-        out = np.zeros((len(x), self.width))
-        out[:, : x.shape[1]] = x
+        out = np.zeros((self.width, len(x)))
+        out[: x.shape[1]] = x.T
         for signs in self.signs[t, c]:
-            out = hadamard(out * signs)
-        return out
+            out *= signs[:, None]
+            out = _hadamard_of_columns(out)
+        return np.ascontiguousarray(out.T)
 
     def buckets(self, x: np.ndarray, t: int) -> np.ndarray:
         bucket = np.zeros(len(x), np.int64)
@@ -116,11 +135,15 @@ class Tables:
             y = self.turned(x, t, c)
             both = np.concatenate([y, -y], axis=1)
             away = (both.max(1, keepdims=True) - both) ** 2
-            bucket = (bucket[:, :, None] * 2 * self.width + np.arange(2 * self.width)).reshape(len(x), -1)
-            cost = (cost[:, :, None] + away[:, None, :]).reshape(len(x), -1)
-            kept = min(self.probes, cost.shape[1])
-            best = np.argpartition(cost, kept - 1, axis=1)[:, :kept]
-            bucket, cost = np.take_along_axis(bucket, best, 1), np.take_along_axis(cost, best, 1)
+            kept = min(self.probes, cost.shape[1] * away.shape[1])
+            near, axes = np.argsort(cost, axis=1), np.argsort(away, axis=1)
+            # the sum at places (i, j) of both orders is among the least only if all sums at places no higher are
+            i, j = np.nonzero(np.outer(np.arange(1, near.shape[1] + 1), np.arange(1, axes.shape[1] + 1)) <= kept)
+            sums = np.take(np.take_along_axis(cost, near, 1), i, axis=1) + np.take(np.take_along_axis(away, axes, 1), j, axis=1)
+            best = np.argpartition(sums, kept - 1, axis=1)[:, :kept]
+            cost = np.take_along_axis(sums, best, 1)
+            near, axes = np.take_along_axis(near, i[best], 1), np.take_along_axis(axes, j[best], 1)
+            bucket = np.take_along_axis(bucket, near, 1) * 2 * self.width + axes
         return bucket
 
 
@@ -133,59 +156,119 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    if not len(column):
-        return np.zeros((0, 1))
-    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _by_rows(make, x: np.ndarray) -> np.ndarray:
+    return np.concatenate([make(x[low : low + ROWS].astype(float)) for low in range(0, len(x), ROWS)])
+
+
+class Shelf:
+    """Vectors of one length under their buckets in every table."""
+
+    def __init__(self, plan: Tables, cls: np.ndarray, ids: np.ndarray, x: np.ndarray):
+        self.plan, self.cls, self.ids, self.x, self.under = plan, cls, ids, x, []
+        for t in range(plan.tables):
+            bucket = _by_rows(lambda rows: plan.buckets(rows, t), x)
+            order = np.argsort(bucket, kind="stable").astype(np.int32)
+            names, starts = np.unique(bucket[order], return_index=True)
+            self.under.append((order, names, np.append(starts, len(order))))
+
+    def met(self, q: np.ndarray, t: int):
+        """(rows of q, rows of the index) for groups of buckets of table t that both have, a bucket a line; -1 fills lines of q."""
+        order, names, starts = self.under[t]
+        probes = _by_rows(lambda rows: self.plan.probed(rows, t).astype(np.int32 if names[-1] < 1 << 31 else np.int64), q)
+        at = np.searchsorted(names, np.arange(names[-1] + 2))[np.minimum(probes, names[-1] + 1)] if names[-1] < 1 << 22 else np.searchsorted(names, probes)
+        there = names[np.minimum(at, len(names) - 1)] == probes
+        at, rows = at[there].astype(np.uint16 if len(names) < 1 << 16 else np.int64), np.nonzero(there)[0].astype(np.int32)
+        del probes, there
+        rows = rows[np.argsort(at, kind="stable")]
+        asks, holds = np.bincount(at, minlength=len(names)), np.diff(starts)
+        first = asks.cumsum() - asks
+        todo = np.flatnonzero(asks)
+        todo = todo[np.lexsort((asks[todo], holds[todo]))]
+        while len(todo):
+            # buckets of one size that are asked for about as often, as many as fit
+            most = max(1, GATHERED // (max(int(asks[todo[0]]), int(holds[todo[0]])) * q.shape[1]))
+            group = todo[:most]
+            group = group[(holds[group] == holds[group[0]]) & (asks[group] <= asks[group[0]] * 1.25)]
+            todo = todo[len(group) :]
+            place = np.arange(asks[group].max())
+            some = rows[np.minimum(first[group, None] + place, len(rows) - 1)]
+            some[place >= asks[group, None]] = -1
+            yield some, order[starts[group, None] + np.arange(holds[group[0]])]
+
+    def best(self, q: np.ndarray, nearest: int) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of the ``nearest`` found for each row of q, -1 where there are fewer, and their scores; ties by id."""
+        col, score, pending, count = np.full((len(q), nearest), -1, np.int32), np.full((len(q), nearest), -np.inf), [], 0
+        for t in range(self.plan.tables):
+            for mine, theirs in self.met(q, t):
+                for low in range(0, theirs.shape[1], PART):
+                    part = theirs[:, low : low + PART]
+                    x, step = self.x[part].astype(float).transpose(0, 2, 1), max(1, SCORES // part.size)
+                    for first in range(0, mine.shape[1], step):
+                        some = mine[:, first : first + step]
+                        scores, least = q[some] @ x, np.where(some < 0, np.inf, score[some, -1])[:, :, None]
+                        wanted = scores >= least
+                        if part.shape[1] > 2 * nearest and wanted.sum() > 2 * nearest * some.size:
+                            edge = np.partition(scores, part.shape[1] - nearest, axis=2)[:, :, part.shape[1] - nearest, None]
+                            wanted = scores >= np.maximum(least, edge)
+                        g, r, c = np.nonzero(wanted)
+                        pending.append((some[g, r], part[g, c], scores[g, r, c]))
+                        count += len(g)
+                        if count > PENDING:
+                            pending, count = self._merge(col, score, pending), 0
+            pending, count = self._merge(col, score, pending), 0  # a pair comes once a table
+        return col, score
+
+    def _merge(self, col: np.ndarray, score: np.ndarray, pending: list) -> list:
+        if pending:
+            r, c, s = (np.concatenate(x) for x in zip(*pending))
+            new = (col[r] != c[:, None]).all(1)
+            had = np.nonzero(col >= 0)
+            r, c, s = np.append(had[0], r[new]), np.append(col[had], c[new]), np.append(score[had], s[new])
+            order = np.argsort(-s)
+            order = order[np.argsort(r[order].astype(np.uint16 if len(col) <= 1 << 16 else np.int64), kind="stable")]
+            if ((s[order[1:]] == s[order[:-1]]) & (r[order[1:]] == r[order[:-1]])).any():
+                order = np.lexsort((self.ids[c], -s, r))
+            r, c, s = r[order], c[order], s[order]
+            place = np.arange(len(r)) - np.searchsorted(r, r)
+            kept = place < col.shape[1]
+            col[r[kept], place[kept]], score[r[kept], place[kept]] = c[kept], s[kept]
+        return []
+
+
+def _searched(plan: Tables, nearest: int):
+    """The nearest classes of each query among the vectors of a slice; those come before the queries."""
+    at_once = max(256, min(QUERIES, PROBES // plan.probes))
+
+    def found(shelf: Shelf, q: np.ndarray, x: np.ndarray):
+        col, score = shelf.best(x, nearest)
+        row, place = np.nonzero(col >= 0)
+        at = col[row, place]
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (q[row], shelf.cls[at], shelf.ids[at], score[row, place])], names=["q", "cls", "id", "score"])
 
-
-def _rows_of(plan: Tables, probing: bool):
     def act(batches):
+        index, shelves, asked = {}, {}, {}
         for batch in batches:
-            for dim in np.unique(batch.column(2).to_numpy()):
-                mine = batch.filter(pa.array(batch.column(2).to_numpy() == dim))
-                x = _matrix(mine.column(1))
-                for t in range(plan.tables):
-                    buckets = plan.probed(x, t) if probing else plan.buckets(x, t)[:, None]
-                    rows = np.repeat(np.arange(len(x)), buckets.shape[1])
-                    for low in range(0, len(rows), 20_000):
-                        at = rows[low : low + 20_000]
-                        part = mine.take(pa.array(at))
-                        n = len(at)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(n, t, np.int32)), pa.array(np.full(n, dim, np.int32)), pa.array(buckets.ravel()[low : low + n]), part.column(0), part.column(1)],
-                            names=["t", "dim", "bucket", "cls", "vec"],
-                        )
-
-    return act
-
-
-def _best(nearest: int):
-    """The nearest classes of each query among the vectors of its run, bucket by bucket."""
-
-    def act(index: pa.Table, probes: pa.Table) -> pa.Table:
-        out = [[], [], []]
-        if index.num_rows and probes.num_rows:
-            runs_i, runs_p = index["run"].to_numpy(), probes["run"].to_numpy()
-            order_i, order_p = np.argsort(runs_i, kind="stable"), np.argsort(runs_p, kind="stable")
-            runs_i, runs_p = runs_i[order_i], runs_p[order_p]
-            cls_i, cls_p = index["cls"].to_numpy()[order_i], probes["cls"].to_numpy()[order_p]
-            vec_i, vec_p = index["vec"].combine_chunks(), probes["vec"].combine_chunks()
-            for run in np.intersect1d(runs_i, runs_p):
-                i = slice(*np.searchsorted(runs_i, [run, run + 1]))
-                p = slice(*np.searchsorted(runs_p, [run, run + 1]))
-                x, owner = _matrix(vec_i.take(pa.array(order_i[i]))), cls_i[i]
-                for low in range(p.start, p.stop, 512):
-                    q = slice(low, min(low + 512, p.stop))
-                    scores = _matrix(vec_p.take(pa.array(order_p[q]))) @ x.T
-                    kept = min(nearest, len(owner))
-                    edge = np.partition(scores, len(owner) - kept, axis=1)[:, len(owner) - kept]
-                    row, col = np.nonzero(scores >= edge[:, None])
-                    out[0].append(cls_p[q][row])
-                    out[1].append(owner[col])
-                    out[2].append(scores[row, col])
-        joined = [np.concatenate(x) if x else np.zeros(0) for x in out]
-        return pa.table({"q": pa.array(joined[0].astype(np.int64)), "cls": pa.array(joined[1].astype(np.int64)), "score": pa.array(joined[2].astype(float))})
+            asks, dims = batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy()
+            for dim in np.unique(dims):
+                for probing, kept in ((False, index), (True, asked)):
+                    mine = batch.filter(pa.array((dims == dim) & (asks == probing)))
+                    if mine.num_rows:
+                        kept.setdefault(dim, []).append((mine.column(3).to_numpy(), mine.column(4).to_numpy(), _matrix(mine.column(5))))
+            if asks.any():
+                shelves |= {dim: Shelf(plan, *(np.concatenate(v) for v in zip(*index.pop(dim)))) for dim in list(index)}
+                for dim in [d for d, x in asked.items() if sum(len(q) for q, *_ in x) >= at_once]:
+                    yield from searched(shelves, dim, asked.pop(dim))
+        for dim in list(asked):
+            yield from searched(shelves, dim, asked.pop(dim))
+
+    def searched(shelves: dict, dim: int, asked: list):
+        q, _, x = (np.concatenate(v) for v in zip(*asked))
+        if dim in shelves:
+            for low in range(0, len(q), at_once):
+                yield from found(shelves[dim], q[low : low + at_once], x[low : low + at_once].astype(float))
 
     return act
 
@@ -199,8 +282,10 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, vec_id: str = "vec_
     and never neighbours of each other; of their scores the largest counts. Without usable vectors there
     are no rows.
     """
+    spark = vectors.sparkSession
     rows = usable(vectors, vec_id, embedding).withColumn("a", F.xxhash64("vec")).withColumn("b", F.xxhash64(F.reverse("vec"), F.lit(1)))
-    classes = written(rows.groupBy("a", "b").agg(F.min("vec_id").alias("id"), F.min_by("vec", "vec_id").alias("vec")).withColumn("cls", F.xxhash64("a", "b")), "classes")
+    classes = rows.groupBy("a", "b").agg(F.min("vec_id").alias("id"), F.min_by("vec", "vec_id").alias("vec"), F.max(is_query).alias("asks"))
+    classes = written(classes.select(F.xxhash64("a", "b").alias("cls"), "id", "vec", "asks"), "classes")
     count, dimensions = classes.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
     plan = plan or Tables.of(count, dimensions or 1)
     salts = max(1, math.ceil(vectors.count() / 100_000))
@@ -211,26 +296,19 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, vec_id: str = "vec_
     members = written(members, "members")
     queries = written(ids.filter(is_query).select(F.col("cls").alias("q"), F.col("vec_id").alias("query_id")), "queries")
 
-    slim = classes.select("cls", "vec", F.size("vec").alias("dim"))
-    kind = dict(classes.dtypes)["vec"]
-    schema = f"t int, dim int, bucket long, cls long, vec {kind}"
-    index = slim.mapInArrow(_rows_of(plan, False), schema)
-    asked = slim.join(queries.select(F.col("q").alias("cls")).distinct(), "cls", "left_semi")
-    probes = asked.mapInArrow(_rows_of(plan, True), schema)
-    on = ["t", "dim", "bucket"]
-    large = written(index.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > PART).select(*on, F.ceil(F.col("n") / PART).cast("int").alias("parts")), "large")
-    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("cls"), F.col("parts"))).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1))
-    slices = max(1, math.ceil(count * plan.tables / SLICE))
-    run = F.xxhash64(*on, "part")
-
-    def dealt(df, column):
-        found = df.join(large, on, "left").withColumn("part", column).withColumn("run", run)
-        return found.select(F.pmod("run", F.lit(slices)).alias("slice"), "run", "cls", "vec")
-
-    found = dealt(index, part).groupBy("slice").cogroup(dealt(probes, every).groupBy("slice")).applyInArrow(_best(nearest + 1), "q long, cls long, score double")
-    found = found.groupBy("q", "cls").agg(F.max("score").alias("score"))
-    found = found.join(classes.select("cls", "id"), "cls")
+    # slices of the index, and groups of queries where cores are left: a group costs the index once more, a slice the queries
+    cores = min(spark.sparkContext.defaultParallelism, math.ceil(count / LEAST))
+    groups = max(1, round(math.sqrt(cores / 2)))
+    slices = max(1, math.ceil(cores / groups), math.ceil(count / SLICE), math.ceil(count * (dimensions or 1) / VALUES))
+    groups = max(1, min(groups, math.ceil(cores / slices)))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    of = lambda n: F.pmod(F.xxhash64("cls", F.lit(n)), F.lit(n)).cast("int")
+    given = [F.size("vec").alias("dim"), "cls", "id", "vec"]
+    index = classes.select(of(slices).alias("slice"), each(groups).alias("group"), F.lit(False).alias("asking"), *given)
+    probes = classes.filter("asks").select(each(slices).alias("slice"), of(groups).alias("group"), F.lit(True).alias("asking"), *given)
+    dealt = index.union(probes).withColumn("slice", F.col("slice") * groups + F.col("group")).drop("group")
+    dealt = dealt.repartitionById(slices * groups, "slice").sortWithinPartitions("asking")
+    found = dealt.mapInArrow(_searched(plan, nearest + 1), "q long, cls long, id long, score double")
     order = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
     top = found.withColumn("place", order).filter(F.col("place") <= nearest + 1).select("q", "cls", "score")
     each = top.join(members, "cls").groupBy("q", "vec_id").agg(F.max("score").alias("score"))

@@ -102,3 +102,42 @@ def test_plans_meet_the_last_neighbour(count, dimensions):
     for t in range(plan.tables):
         met |= (plan.probed(q, t) == plan.buckets(p, t)[:, None]).any(1)
     assert met.mean() >= 0.9
+
+
+def shuffled(plan):
+    """Bytes that the exchanges of a finished plan wrote."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled(plan.plan())
+    size = plan.metrics().apply("dataSize").value() if kind == "ShuffleExchangeExec" else 0
+    children = plan.children()
+    return size + sum(shuffled(children.apply(i)) for i in range(children.size()))
+
+
+def test_vectors_are_not_shuffled_for_each_table_and_probe(spark):
+    rng = np.random.default_rng(5)
+    vectors = frame(spark, [(i, v) for i, v in enumerate(rng.normal(size=(2_000, 64)).astype(np.float32).tolist())])
+    found = neighbours.nearest_neighbours(vectors, F.col("vec_id") % 20 == 0, plan=Tables(64, 2, 12, 384))
+    assert len(found.collect()) == 2_000
+    assert 0 < shuffled(found._jdf.queryExecution().executedPlan()) < 5 * 2_000 * 64 * 4
+
+
+@pytest.mark.parametrize("dimensions,plan", [(5, Tables(8, 2, 3, 9)), (8, Tables(8, 1, 2, 2)), (3, Tables(4, 3, 2, 30))])
+def test_the_nearest_of_the_vectors_met(spark, monkeypatch, dimensions, plan):
+    """Over several slices, groups and merges: the vectors in probed buckets, no others, ordered by score."""
+    for name, value in {"SLICE": 150, "LEAST": 100, "PART": 5, "SCORES": 64, "PENDING": 500, "GATHERED": 200, "ROWS": 7, "PROBES": 1, "QUERIES": 11}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    rng = np.random.default_rng(dimensions)
+    x = rng.normal(size=(700, dimensions)).astype(np.float32)
+    met = np.zeros((35, 700), bool)
+    for t in range(plan.tables):
+        met |= (plan.probed(x[::20].astype(float), t)[:, :, None] == plan.buckets(x.astype(float), t)).any(1)
+    scores = x[::20].astype(float) @ x.astype(float).T
+    scores[~met] = -np.inf
+    scores[np.arange(35), np.arange(35) * 20] = -np.inf
+    got = {}
+    for r in neighbours.nearest_neighbours(frame(spark, [(i, v) for i, v in enumerate(x.tolist())]), F.col("vec_id") % 20 == 0, plan=plan).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q * 20: near for q, s in enumerate(scores) if (near := [int(i) for i in np.argsort(-s)[:20] if s[i] > -np.inf])}
