@@ -99,7 +99,7 @@ def test_the_driver_holds_no_names_of_landed_files(spark, tmp_path, sidecars):
     for n in range(70):
         (tmp_path / "in" / f"{n}.json").write_text('{"n": %d}' % n)
     assert sidecars(files_per_batch=30) == list(range(70))
-    logged = [line for f in (tmp_path / "state" / "stream" / "sources" / "0").iterdir() if f.name.isdigit() for line in f.read_text().splitlines() if "path" in line]
+    logged = [line for f in (tmp_path / "state").rglob("sources/0/*") if f.name.isdigit() for line in f.read_text().splitlines() if "path" in line]
     assert len(logged) == 3 and not [line for line in logged if ".json" in line]
     counts = [r["count"] for r in spark.read.option("basePath", str(tmp_path / "out")).parquet(str(tmp_path / "out")).groupBy("batch_id").count().collect()]
     assert sorted(counts) == [10, 30, 30]
